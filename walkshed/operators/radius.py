@@ -16,21 +16,26 @@ CELL_MARGIN = 1.0001
 PAIRS_PER_TASK = 50_000_000
 
 
-def _split_busy_cells(stops: DataFrame, stations: DataFrame, pairs_per_task: int) -> tuple[DataFrame, DataFrame]:
-    """Give cells with too many comparisons several parts: stops are dealt out, stations copied.
+def busy_cells(stops: DataFrame, stations: DataFrame, pairs_per_task: int) -> DataFrame:
+    """Cells with more than ``pairs_per_task`` comparisons, and into how many parts to split them.
 
-    Byte sizes do not show this skew, as a small cell can still mean billions of
-    comparisons. Only counts per cell are shuffled to find the busy cells; there are at
-    most (stops + 9 * stations) / sqrt(pairs_per_task) of them.
+    Only counts per cell are shuffled. There are at most
+    (stops + 9 * stations) / sqrt(pairs_per_task) such cells.
     """
-    stop_counts = stops.groupBy("_cx", "_cy").agg(F.count("*").alias("_n_stops"))
-    station_counts = stations.groupBy("_cx", "_cy").agg(F.count("*").alias("_n_stations"))
-    work = F.col("_n_stops").cast("double") * F.col("_n_stations")
-    busy = (
-        stop_counts.join(station_counts, ["_cx", "_cy"])
+    sides = stops.select("_cx", "_cy", F.lit(1).alias("stop"), F.lit(0).alias("station")).unionAll(
+        stations.select("_cx", "_cy", F.lit(0), F.lit(1))
+    )
+    work = F.col("n_stops").cast("double") * F.col("n_stations")
+    return (
+        sides.groupBy("_cx", "_cy")
+        .agg(F.sum("stop").alias("n_stops"), F.sum("station").alias("n_stations"))
         .where(work > pairs_per_task)
-        .select("_cx", "_cy", F.least(F.ceil(work / pairs_per_task), F.col("_n_stops")).cast("int").alias("_parts"))
+        .select("_cx", "_cy", F.least(F.ceil(work / pairs_per_task), F.col("n_stops")).cast("int").alias("_parts"))
     )
+
+
+def _split(stops: DataFrame, stations: DataFrame, busy: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Deal the stops of a busy cell out over its parts and copy its stations to each part."""
     parts = F.coalesce("_parts", F.lit(1))
     spread_by = [c for c in stops.columns if c not in ("_cx", "_cy")]
     stops = stops.join(busy, ["_cx", "_cy"], "left").withColumn(
@@ -90,13 +95,14 @@ def radius_pairs(
         .withColumn("_cy", cy + F.col("_dy"))
         .drop("_dx", "_dy")
     )
-    stops, stations = _split_busy_cells(stops, stations, pairs_per_task)
-    pairs = (
-        stops.join(stations, ["_cx", "_cy", "_part"])
-        .where(within(widest))
-        .drop("_cx", "_cy", "_part")
-        .withColumn("dist_km", distance)
-    )
+    # Byte sizes do not show this skew to adaptive execution, as a small cell can mean
+    # billions of comparisons; so the points per cell are counted first.
+    cell = ["_cx", "_cy"]
+    busy = busy_cells(stops, stations, pairs_per_task)
+    if not busy.isEmpty():
+        stops, stations = _split(stops, stations, busy)
+        cell = [*cell, "_part"]
+    pairs = stops.join(stations, cell).where(within(widest)).drop(*cell).withColumn("dist_km", distance)
     if len(radii_m) == 1:
         return pairs.withColumn("radius_m", F.lit(widest))
     reached = F.array_compact(F.array(*[F.when(within(r), F.lit(r)) for r in radii_m]))

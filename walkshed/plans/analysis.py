@@ -15,9 +15,9 @@ from walkshed.functions.labels import direction, match_flag
 from walkshed.functions.numbers import millions, ratio, share_pct
 from walkshed.plans.places import stop_memberships
 from walkshed.plans.study import Study
-from walkshed.plans.zones import TRIPS, bus_in_reach, with_line_type, zone_stats, zone_typed
+from walkshed.plans.zones import bus_in_reach, trips, with_line_type, zone_stats, zone_typed
 
-SHARE = F.col("rail_share_pct")
+SHARE = "rail_share_pct"
 
 
 def _rounded(value: Column, digits: int | None) -> Column:
@@ -88,7 +88,7 @@ def rail_hour_type(study: Study, radii_m: Sequence[int]) -> DataFrame:
         study.stop_keys.select("stop_lat", "stop_lon").distinct(), ["stop_lat", "stop_lon"], "left_semi"
     )
     zones = zones.select("radius_m", "sta_lat", "sta_lon").distinct()
-    rail = study.rail_by_station("hr", rail_trips=F.sum(TRIPS))
+    rail = study.rail_by_station("hr", rail_trips=F.sum(trips()))
     per_site = (
         with_line_type(study, rail)
         .groupBy("sta_lat", "sta_lon", "line_type", "hr")
@@ -106,7 +106,7 @@ def bus_hour_type(study: Study, radii_m: Sequence[int]) -> DataFrame:
     stations = with_line_type(study, study.station_keys)
     zones = stop_memberships(study, radii_m, "line_type", stations=stations)
     return (
-        study.bus_by_stop("hr", bus_trips=F.sum(TRIPS))
+        study.bus_by_stop("hr", bus_trips=F.sum(trips()))
         .join(zones, "stop_id")
         .groupBy("radius_m", "line_type", "hr")
         .agg(F.sum(F.col("bus_trips") * F.col("n_zones")).alias("bus_trips"))
@@ -148,7 +148,7 @@ def _labelled(study: Study, df: DataFrame) -> DataFrame:
 def direction_rail(study: Study) -> DataFrame:
     """Boarding ratio and direction of each station in the morning hours."""
     rail = study.rail_by_station(
-        hours=study.settings.morning_hours, board=F.sum("on_cnt"), total=F.sum(TRIPS)
+        hours=study.settings.morning_hours, board=F.sum("on_cnt"), total=F.sum(trips())
     )
     return _labelled(study, rail.select("station", "line", "board", "total"))
 
@@ -156,7 +156,7 @@ def direction_rail(study: Study) -> DataFrame:
 def direction_bus(study: Study, radii_m: Sequence[int]) -> DataFrame:
     """Boarding ratio and direction of the stops in reach of each station in the morning hours."""
     bus = bus_in_reach(
-        study, radii_m, hours=study.settings.morning_hours, board=F.sum("on_cnt"), total=F.sum(TRIPS)
+        study, radii_m, hours=study.settings.morning_hours, board=F.sum("on_cnt"), total=F.sum(trips())
     )
     zones = bus.join(study.station_keys, ["sta_lat", "sta_lon"])
     return _labelled(study, zones.select("radius_m", "station", "line", "board", "total"))
@@ -196,12 +196,12 @@ def direction_share(study: Study, radii_m: Sequence[int], digits: int | None = 2
 def _share_by(study: Study, radii_m: Sequence[int], dim: str, digits: int | None) -> DataFrame:
     """Both modes by ``dim``: all located rail use, bus use once per zone a stop lies in."""
     rail = (
-        study.rail_by_station(dim, rail_trips=F.sum(TRIPS))
+        study.rail_by_station(dim, rail_trips=F.sum(trips()))
         .groupBy(dim)
         .agg(F.sum("rail_trips").alias("rail_trips"))
     )
     bus = (
-        study.bus_by_stop(dim, bus_trips=F.sum(TRIPS))
+        study.bus_by_stop(dim, bus_trips=F.sum(trips()))
         .join(stop_memberships(study, radii_m), "stop_id")
         .groupBy("radius_m", dim)
         .agg(F.sum(F.col("bus_trips") * F.col("n_zones")).alias("bus_trips"))
@@ -230,7 +230,7 @@ def share_hour(study: Study, radii_m: Sequence[int], digits: int | None = 2) ->
 
 def _peak_sums(study: Study) -> dict[str, Column]:
     at_peak = F.col("hr").isin(*study.settings.peak_hours)
-    return {"peak_trips": F.sum(F.when(at_peak, TRIPS).otherwise(0)), "all_trips": F.sum(TRIPS)}
+    return {"peak_trips": F.sum(F.when(at_peak, trips()).otherwise(0)), "all_trips": F.sum(trips())}
 
 
 def peak_rail(study: Study, digits: int | None = 2) -> DataFrame:
@@ -262,7 +262,7 @@ def peak_bus(study: Study, radii_m: Sequence[int], digits: int | None = 2) -> Da
 def top_stations(study: Study, n: int = 20) -> DataFrame:
     """The ``n`` busiest stations, ties by name."""
     return (
-        study.rail_by_station(total_trips=F.sum(TRIPS))
+        study.rail_by_station(total_trips=F.sum(trips()))
         .select("station", "line", "total_trips", F.round(millions(F.col("total_trips")), 1).alias("total_m"))
         .orderBy(F.desc("total_trips"), "station", "line")
         .limit(n)
@@ -275,7 +275,7 @@ def top_stops(study: Study, radius_m: int, n: int = 20) -> DataFrame:
     ``total_trips`` counts a stop once for every zone it lies in; ``stop_trips`` is its plain sum.
     """
     return (
-        study.bus_by_stop(stop_name=F.max("stop_name"), stop_trips=F.sum(TRIPS))
+        study.bus_by_stop(stop_name=F.max("stop_name"), stop_trips=F.sum(trips()))
         .join(stop_memberships(study, [radius_m]), "stop_id")
         .withColumn("total_trips", F.col("stop_trips") * F.col("n_zones"))
         .select(

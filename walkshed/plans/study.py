@@ -160,9 +160,11 @@ class Study:
         )
 
     def _pair_sites(self, radii_m: Sequence[int], box_only: bool = False) -> DataFrame:
+        """Pairs of positions in the masters; those no place ends up at meet nothing later."""
+        stops = without_ferry(self.stop_master, self.settings.ferry_stop_type)
         return radius_pairs(
-            self.stops.select("stop_lat", "stop_lon").distinct(),
-            self.stations.select("sta_lat", "sta_lon").distinct(),
+            stops.select(F.col("YCRD").alias("stop_lat"), F.col("XCRD").alias("stop_lon")).distinct(),
+            self.station_master.select(F.col("LAT").alias("sta_lat"), F.col("LOT").alias("sta_lon")).distinct(),
             radii_m,
             self.settings.km_per_degree_lat,
             self.settings.km_per_degree_lon,

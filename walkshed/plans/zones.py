@@ -11,18 +11,20 @@ from walkshed.functions.labels import category
 from walkshed.functions.numbers import share_pct
 from walkshed.plans.study import Study
 
-TRIPS = F.col("on_cnt") + F.col("off_cnt")
+def trips() -> Column:
+    """Boardings and alightings together."""
+    return F.col("on_cnt") + F.col("off_cnt")
 
 
 def rail_total(study: Study) -> DataFrame:
     """All rail use per station and line."""
-    return study.rail_by_station(rail_total=F.sum(TRIPS)).select("station", "line", "rail_total")
+    return study.rail_by_station(rail_total=F.sum(trips())).select("station", "line", "rail_total")
 
 
 def bus_total(study: Study) -> DataFrame:
     """All bus use per located stop."""
     return (
-        study.bus_by_stop(bus_total=F.sum(TRIPS))
+        study.bus_by_stop(bus_total=F.sum(trips()))
         .join(study.stops, "stop_id")
         .select("stop_id", "bus_total")
     )
@@ -51,8 +53,8 @@ def bus_in_reach(
 
 def zone_stats(study: Study, radii_m: Sequence[int]) -> DataFrame:
     """Rail and bus totals, number of stops and rail share per zone and radius."""
-    rail = study.rail_by_station(rail_total=F.sum(TRIPS))
-    bus = bus_in_reach(study, radii_m, bus_total=F.sum(TRIPS))
+    rail = study.rail_by_station(rail_total=F.sum(trips()))
+    bus = bus_in_reach(study, radii_m, bus_total=F.sum(trips()))
     both = F.col("rail_total") + F.col("bus_total")
     return (
         rail.join(bus, ["sta_lat", "sta_lon"])
