@@ -78,14 +78,14 @@ def _scan_master(master: Callable, scan: Callable) -> Query:
 
 def _roundtrip_rail(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_folder(spark, "hourly-rail")
-    table = reshape.hourly(testdata.rail_wide(spark, sf_dir), RAIL)
-    hourly.write_hourly(table, path, RAIL, official_names=True)
+    packed = reshape.packed_records(testdata.rail_wide(spark, sf_dir), RAIL)
+    hourly.write_hourly(packed, path, RAIL, official_names=True)
     return hourly.read_hourly(spark, path, RAIL)
 
 
 def _roundtrip_bus(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_folder(spark, "hourly-bus")
-    hourly.write_hourly(reshape.hourly(testdata.bus_wide(spark, sf_dir), BUS), path, BUS)
+    hourly.write_hourly(reshape.packed_records(testdata.bus_wide(spark, sf_dir), BUS), path, BUS)
     per_stop = (
         hourly.read_hourly(spark, path, BUS)
         .groupBy("year", "month", "hr", "stop_id")
@@ -174,7 +174,9 @@ def _reshape() -> dict[str, Query]:
         "dedup_audit_rail": on_standard(rail, RAIL, reshape.dedup_audit),
         "dedup_audit_bus": on_standard(bus, BUS, reshape.dedup_audit),
         "unpivot_rail": long(rail, RAIL, *RAIL.key, "job_ymd", "hr", "on_cnt", "off_cnt"),
-        "unpivot_bus": long(bus, BUS, *BUS.key, "hr", "on_cnt", "off_cnt"),
+        "unpivot_bus": lambda spark, d: reshape.hourly(bus(spark, d), BUS)
+        .groupBy("stop_id", "hr")
+        .agg(F.count("*").alias("n_rows"), F.sum("on_cnt").alias("on_cnt"), F.sum("off_cnt").alias("off_cnt")),
         "derive_period": lambda spark, d: reshape.with_period(testdata.rail_hourly(spark, d))
         .groupBy("ym", "year", "month")
         .agg(F.count("*").alias("n_rows")),

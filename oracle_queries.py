@@ -271,7 +271,7 @@ PLAIN: dict[str, str] = {
     "dedup_audit_rail": "SELECT (SELECT COUNT(*) FROM rail_standard) AS n_before, (SELECT COUNT(*) FROM rail_dedup) AS n_after, (SELECT COUNT(*) FROM rail_standard) - (SELECT COUNT(*) FROM rail_dedup) AS n_removed",
     "dedup_audit_bus": "SELECT (SELECT COUNT(*) FROM bus_standard) AS n_before, (SELECT COUNT(*) FROM bus_dedup) AS n_after, (SELECT COUNT(*) FROM bus_standard) - (SELECT COUNT(*) FROM bus_dedup) AS n_removed",
     "unpivot_rail": "SELECT ym, line, station, job_ymd, hr, on_cnt, off_cnt FROM rail_long",
-    "unpivot_bus": "SELECT ym, route_no, stop_id, hr, on_cnt, off_cnt FROM bus_long",
+    "unpivot_bus": "SELECT stop_id, hr, COUNT(*) AS n_rows, CAST(SUM(on_cnt) AS BIGINT) AS on_cnt, CAST(SUM(off_cnt) AS BIGINT) AS off_cnt FROM bus_long GROUP BY 1,2",
     "derive_period": "SELECT ym, CAST(CAST(ym AS INT) // 100 AS INT) AS year, CAST(CAST(ym AS INT) % 100 AS INT) AS month, COUNT(*) AS n_rows FROM rail_hourly GROUP BY 1,2,3",
     "hourly_roundtrip": "SELECT year, month, ym, line, station, job_ymd, hr, on_cnt, off_cnt FROM rail_long",
     "hourly_roundtrip_bus": "SELECT year, month, hr, COUNT(*) AS n_rows, COUNT(DISTINCT stop_id) AS n_stops, CAST(SUM(on_cnt) AS BIGINT) AS on_cnt, CAST(SUM(off_cnt) AS BIGINT) AS off_cnt FROM bus_long GROUP BY 1,2,3",

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from walkshed.functions.labels import direction, match_flag
 from walkshed.functions.numbers import millions, ratio, share_pct
-from walkshed.plans.places import stop_memberships
+from walkshed.plans.places import stop_memberships, typed_memberships
 from walkshed.plans.study import Study
 from walkshed.plans.zones import bus_in_reach, trips, with_line_type, zone_stats, zone_typed
 
@@ -104,7 +104,7 @@ def rail_hour_type(study: Study, radii_m: Sequence[int]) -> DataFrame:
 def bus_hour_type(study: Study, radii_m: Sequence[int]) -> DataFrame:
     """Bus use by line type and hour; a stop counts once for every zone it lies in."""
     stations = with_line_type(study, study.station_keys)
-    zones = stop_memberships(study, radii_m, "line_type", stations=stations)
+    zones = typed_memberships(study, radii_m, stations)
     return (
         study.bus_by_stop("hr", bus_trips=F.sum(trips()))
         .join(zones, "stop_id")
@@ -116,11 +116,14 @@ def bus_hour_type(study: Study, radii_m: Sequence[int]) -> DataFrame:
 def share_hour_type(study: Study, radii_m: Sequence[int], digits: int | None = 2) -> DataFrame:
     """Rail share by line type and hour, where both modes are used."""
     rail, bus = F.col("rail_trips"), F.col("bus_trips")
-    return (
-        rail_hour_type(study, radii_m)
-        .join(bus_hour_type(study, radii_m), ["radius_m", "line_type", "hr"])
-        .withColumn("share", _rounded(share_pct(rail, rail + bus), digits))
-    )
+
+    def build(radii: Sequence[int]) -> DataFrame:
+        return rail_hour_type(study, radii).join(
+            bus_hour_type(study, radii), ["radius_m", "line_type", "hr"]
+        )
+
+    sums = study.shared_by_radius("hour-type", radii_m, build)
+    return sums.withColumn("share", _rounded(share_pct(rail, rail + bus), digits))
 
 
 def share_hour_type_matrix(study: Study, radii_m: Sequence[int], digits: int | None = 2) -> DataFrame:
@@ -195,21 +198,24 @@ def direction_share(study: Study, radii_m: Sequence[int], digits: int | None = 2
 
 def _share_by(study: Study, radii_m: Sequence[int], dim: str, digits: int | None) -> DataFrame:
     """Both modes by ``dim``: all located rail use, bus use once per zone a stop lies in."""
-    rail = (
-        study.rail_by_station(dim, rail_trips=F.sum(trips()))
-        .groupBy(dim)
-        .agg(F.sum("rail_trips").alias("rail_trips"))
-    )
-    bus = (
-        study.bus_by_stop(dim, bus_trips=F.sum(trips()))
-        .join(stop_memberships(study, radii_m), "stop_id")
-        .groupBy("radius_m", dim)
-        .agg(F.sum(F.col("bus_trips") * F.col("n_zones")).alias("bus_trips"))
-    )
+
+    def build(radii: Sequence[int]) -> DataFrame:
+        rail = (
+            study.rail_by_station(dim, rail_trips=F.sum(trips()))
+            .groupBy(dim)
+            .agg(F.sum("rail_trips").alias("rail_trips"))
+        )
+        bus = (
+            study.bus_by_stop(dim, bus_trips=F.sum(trips()))
+            .join(stop_memberships(study, radii), "stop_id")
+            .groupBy("radius_m", dim)
+            .agg(F.sum(F.col("bus_trips") * F.col("n_zones")).alias("bus_trips"))
+        )
+        return rail.join(bus, dim).select("radius_m", dim, "rail_trips", "bus_trips")
+
     both = F.col("rail_trips") + F.col("bus_trips")
     return (
-        rail.join(bus, dim)
-        .select("radius_m", dim, "rail_trips", "bus_trips")
+        study.shared_by_radius(f"use-by-{dim}", radii_m, build)
         .withColumn("rail_m", F.round(millions(F.col("rail_trips")), 1))
         .withColumn("bus_m", F.round(millions(F.col("bus_trips")), 1))
         .withColumn("total_m", F.round(millions(both), 1))

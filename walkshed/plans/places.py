@@ -35,12 +35,9 @@ def pairs(study: Study, radii_m: Sequence[int], box_only: bool = False) -> DataF
     )
 
 
-def stop_memberships(study: Study, radii_m: Sequence[int], *station_columns: str, stations: DataFrame | None = None) -> DataFrame:
-    """In how many zones each stop lies: ``radius_m, stop_id, n_zones``, also by station columns.
-
-    A zone is a (station, line), so a stop counts once for every line of an interchange.
-    """
-    stations = study.station_keys if stations is None else stations
+def _memberships(
+    study: Study, radii_m: Sequence[int], stations: DataFrame, *station_columns: str
+) -> DataFrame:
     per_site = stations.groupBy("sta_lat", "sta_lon", *station_columns).agg(F.count("*").alias("n_keys"))
     per_stop_site = (
         study.reach(radii_m)
@@ -51,3 +48,18 @@ def stop_memberships(study: Study, radii_m: Sequence[int], *station_columns: str
     return study.stops.join(per_stop_site, ["stop_lat", "stop_lon"]).select(
         "radius_m", "stop_id", *station_columns, "n_zones"
     )
+
+
+def stop_memberships(study: Study, radii_m: Sequence[int]) -> DataFrame:
+    """In how many zones each stop lies: ``radius_m, stop_id, n_zones``.
+
+    A zone is a (station, line), so a stop counts once for every line of an interchange.
+    """
+    return study.shared_by_radius(
+        "memberships", radii_m, lambda radii: _memberships(study, radii, study.station_keys)
+    )
+
+
+def typed_memberships(study: Study, radii_m: Sequence[int], stations: DataFrame) -> DataFrame:
+    """The same by the ``line_type`` of the stations."""
+    return _memberships(study, radii_m, stations, "line_type")

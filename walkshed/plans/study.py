@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame
@@ -82,18 +82,34 @@ class Study:
         self.staged = staged
         self.radii_m = tuple(radii_m)
 
-    def _stage(self, df: DataFrame, name: str) -> DataFrame:
-        return stage_table(df, name) if self.staged else df
+        self._tables: dict[str, DataFrame] = {}
+
+    def shared(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        """A table several queries use: built once and staged, or a plan of its own if not staged."""
+        if not self.staged:
+            return build()
+        if name not in self._tables:
+            self._tables[name] = stage_table(build(), name)
+        return self._tables[name]
+
+    def shared_by_radius(
+        self, name: str, radii_m: Sequence[int], build: Callable[[Sequence[int]], DataFrame]
+    ) -> DataFrame:
+        """The same for a table with a ``radius_m`` column, staged for all radii of the study at once."""
+        if not self.staged or not set(radii_m) <= set(self.radii_m):
+            return build(radii_m)
+        whole = self.shared(name, lambda: build(self.radii_m))
+        return whole.where(F.col("radius_m").isin(*radii_m))
 
     @cached_property
     def stations(self) -> DataFrame:
         """``sta_norm, line_norm, sta_lat, sta_lon``, unique by name and line."""
-        return self._stage(unique_stations(self.station_master), "stations")
+        return self.shared("stations", lambda: unique_stations(self.station_master))
 
     @cached_property
     def stops(self) -> DataFrame:
         """``stop_id, stop_lat, stop_lon, stop_type``, unique by id, without ferries."""
-        return self._stage(unique_stops(self.stop_master, self.settings.ferry_stop_type), "stops")
+        return self.shared("stops", lambda: unique_stops(self.stop_master, self.settings.ferry_stop_type))
 
     @cached_property
     def rail_facts(self) -> DataFrame:
@@ -144,20 +160,24 @@ class Study:
     @cached_property
     def station_keys(self) -> DataFrame:
         """Stations with traffic: ``station, line, sta_lat, sta_lon``."""
-        keys = self.normalised(self.rail_facts.select("station", "line").distinct()).join(
-            self.stations, ["sta_norm", "line_norm"]
-        )
-        return keys.select("station", "line", "sta_lat", "sta_lon")
+
+        def build() -> DataFrame:
+            keys = self.normalised(self.rail_facts.select("station", "line").distinct())
+            return keys.join(self.stations, ["sta_norm", "line_norm"]).select(
+                "station", "line", "sta_lat", "sta_lon"
+            )
+
+        return self.shared("station-keys", build)
 
     @cached_property
     def stop_keys(self) -> DataFrame:
         """Stops with traffic: ``stop_id, stop_lat, stop_lon``."""
-        return (
-            self.bus_facts.select("stop_id")
-            .distinct()
-            .join(self.stops, "stop_id")
-            .select("stop_id", "stop_lat", "stop_lon")
-        )
+
+        def build() -> DataFrame:
+            keys = self.bus_facts.select("stop_id").distinct().join(self.stops, "stop_id")
+            return keys.select("stop_id", "stop_lat", "stop_lon")
+
+        return self.shared("stop-keys", build)
 
     def _pair_sites(self, radii_m: Sequence[int], box_only: bool = False) -> DataFrame:
         """Pairs of positions in the masters; those no place ends up at meet nothing later."""
@@ -171,12 +191,8 @@ class Study:
             box_only,
         )
 
-    @cached_property
-    def _staged_reach(self) -> DataFrame:
-        return stage_table(self._pair_sites(self.radii_m), "reach")
-
     def reach(self, radii_m: Sequence[int], box_only: bool = False) -> DataFrame:
         """Stop and station sites within each radius: ``radius_m``, both positions, ``dist_km``."""
-        if self.staged and not box_only and set(radii_m) <= set(self.radii_m):
-            return self._staged_reach.where(F.col("radius_m").isin(*radii_m))
-        return self._pair_sites(radii_m, box_only)
+        if box_only:
+            return self._pair_sites(radii_m, box_only)
+        return self.shared_by_radius("reach", radii_m, self._pair_sites)

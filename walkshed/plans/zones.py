@@ -53,15 +53,19 @@ def bus_in_reach(
 
 def zone_stats(study: Study, radii_m: Sequence[int]) -> DataFrame:
     """Rail and bus totals, number of stops and rail share per zone and radius."""
-    rail = study.rail_by_station(rail_total=F.sum(trips()))
-    bus = bus_in_reach(study, radii_m, bus_total=F.sum(trips()))
-    both = F.col("rail_total") + F.col("bus_total")
-    return (
-        rail.join(bus, ["sta_lat", "sta_lon"])
-        .select("radius_m", "station", "line", "rail_total", "bus_total", "n_stops")
-        .withColumn("total_in_zone", both)
-        .withColumn("rail_share_pct", share_pct(F.col("rail_total"), both))
-    )
+
+    def build(radii: Sequence[int]) -> DataFrame:
+        rail = study.rail_by_station(rail_total=F.sum(trips()))
+        bus = bus_in_reach(study, radii, bus_total=F.sum(trips()))
+        both = F.col("rail_total") + F.col("bus_total")
+        return (
+            rail.join(bus, ["sta_lat", "sta_lon"])
+            .select("radius_m", "station", "line", "rail_total", "bus_total", "n_stops")
+            .withColumn("total_in_zone", both)
+            .withColumn("rail_share_pct", share_pct(F.col("rail_total"), both))
+        )
+
+    return study.shared_by_radius("zones", radii_m, build)
 
 
 def with_line_type(study: Study, df: DataFrame) -> DataFrame:

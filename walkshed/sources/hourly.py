@@ -5,20 +5,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from walkshed.operators.reshape import explode_hours
 from walkshed.schema import ModeSpec
 
 
 def write_hourly(
-    df: DataFrame, path: str, spec: ModeSpec, only_given_months: bool = False, official_names: bool = False
+    packed: DataFrame, path: str, spec: ModeSpec, only_given_months: bool = False, official_names: bool = False
 ) -> None:
-    """Write an hourly table partitioned by year and month.
+    """Write packed records as the hourly table, partitioned by year and month.
 
     The rebalance hint lets Spark split a big month over many tasks and pack small ones
-    together, by measured size. Rows are sorted by place inside a file, so the place
-    column's statistics prune row groups. ``only_given_months`` replaces just the months
-    present in ``df``; otherwise the whole table is replaced.
+    together, by measured size; it comes before the hours are spread out, so 24 times fewer
+    rows are shuffled. Rows are sorted by place inside a file, so the place column's
+    statistics prune row groups. ``only_given_months`` replaces just the months present in
+    ``packed``; otherwise the whole table is replaced.
     """
-    out = df.hint("rebalance", "year", "month").sortWithinPartitions("year", "month", spec.place)
+    out = explode_hours(packed.hint("rebalance", "year", "month")).sortWithinPartitions(
+        "year", "month", spec.place
+    )
     partition = ["year", "month"]
     if official_names:
         out = to_official_names(out, spec)
