@@ -7,12 +7,16 @@ both engines agree; the two-digit presentation columns are left out for the same
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable
 from functools import partial
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+sys.path.insert(0, str(Path(__file__).resolve().parent))
+
 from oracle_queries import oracle_queries
 from walkshed import testdata
 from walkshed.functions.geo import great_circle_km

@@ -11,8 +11,12 @@ from walkshed.functions.numbers import ratio
 
 
 def strip_alias(name: Column) -> Column:
-    """Drop everything from the first ``(`` to the last ``)``; blanks stay."""
-    return F.regexp_replace(name, r"\(.*\)", "")
+    """Drop everything from the first ``(`` to the last ``)``; blanks stay.
+
+    The pattern only runs on names that hold a bracket: the optimizer pushes the join key's
+    null check down to the facts, where it would run on every row.
+    """
+    return F.when(name.contains("("), F.regexp_replace(name, r"\(.*\)", "")).otherwise(name)
 
 
 def renamed(value: Column, renames: Mapping[str, str]) -> Column:

@@ -7,13 +7,17 @@ from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from walkshed.schema import STATION_MASTER, STOP_MASTER
 
 
+def _reader(spark: SparkSession) -> DataFrameReader:
+    return spark.read.option("header", "true").option("encoding", "UTF-8")
+
+
 def _units(spark: SparkSession, path: str | list[str], one_header_per: str) -> list[str]:
     """Files, or folders of files, that share one header line. Lists names, reads no content."""
     listing = (
@@ -42,18 +46,17 @@ def scan_wide(
     """
     if one_header_per not in ("file", "folder"):
         raise ValueError("one_header_per is 'file' or 'folder'")
-    reader = lambda: spark.read.option("header", "true").option("encoding", "UTF-8")
     units = _units(spark, path, one_header_per)
     if not units:
         raise FileNotFoundError(f"no raw files under {path}")
     with ThreadPoolExecutor(max_workers=16) as pool:
-        headers = list(pool.map(lambda unit: tuple(reader().csv(unit).columns), units))
+        headers = list(pool.map(lambda unit: tuple(_reader(spark).csv(unit).columns), units))
 
     by_header: dict[tuple[str, ...], list[str]] = defaultdict(list)
     for unit, header in zip(units, headers):
         by_header[header].append(unit)
     scans = [
-        reader()
+        _reader(spark)
         .schema(T.StructType([T.StructField(c, T.StringType()) for c in header]))
         .option("enforceSchema", "false")
         .csv(files)
@@ -63,13 +66,7 @@ def scan_wide(
 
 
 def _scan_master(spark: SparkSession, path: str | Sequence[str], schema: T.StructType) -> DataFrame:
-    return (
-        spark.read.schema(schema)
-        .option("header", "true")
-        .option("encoding", "UTF-8")
-        .option("enforceSchema", "false")
-        .csv(path)
-    )
+    return _reader(spark).schema(schema).option("enforceSchema", "false").csv(path)
 
 
 def scan_stop_master(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
