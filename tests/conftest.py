@@ -16,6 +16,7 @@ def spark(tmp_path_factory):
         **{
             "spark.sql.shuffle.partitions": "2",
             "spark.ui.enabled": "false",
+            "spark.sql.codegen.wholeStage": "false",
             "spark.driver.memory": "4g",
             "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
         },

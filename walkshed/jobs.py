@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -86,7 +87,12 @@ def report(study: Study) -> Mapping[str, DataFrame]:
     return tables
 
 
-def write_report(study: Study, target: str) -> None:
-    """Write every result table as Parquet under ``target/<name>``."""
-    for name, table in report(study).items():
-        table.write.mode("overwrite").parquet(f"{target}/{name}")
+def write_report(study: Study, target: str, at_once: int = 4) -> None:
+    """Write every result table as Parquet under ``target/<name>``, a few small jobs at once."""
+    tables = report(study)
+
+    def write(name: str) -> None:
+        tables[name].write.mode("overwrite").parquet(f"{target}/{name}")
+
+    with ThreadPoolExecutor(max_workers=at_once) as pool:
+        list(pool.map(write, tables))

@@ -178,12 +178,38 @@ def direction_join(study: Study, radii_m: Sequence[int]) -> DataFrame:
     )
 
 
+def _morning_sums(study: Study, total_name: str) -> dict[str, Column]:
+    """Sums over all hours and over the morning hours in one pass."""
+    morning = F.col("hr").isin(*study.settings.morning_hours)
+    return {
+        total_name: F.sum(trips()),
+        "board": F.sum(F.when(morning, F.col("on_cnt"))),
+        "total": F.sum(F.when(morning, trips())),
+        "n_morning": F.count_if(morning),
+    }
+
+
 def direction_share(study: Study, radii_m: Sequence[int], digits: int | None = 2) -> DataFrame:
-    """Zones, mean and median rail share by whether the directions match."""
-    zones = zone_stats(study, radii_m).select("radius_m", "station", "line", "rail_share_pct")
+    """Zones, mean and median rail share by whether the directions match.
+
+    Takes the zones that ``direction_join`` has, those with morning rows of both modes, but
+    gets directions and shares from one scan of each mode.
+    """
+
+    def labelled(df: DataFrame, mode: str) -> DataFrame:
+        found = _labelled(study, df.where(F.col("n_morning") > 0))
+        return found.withColumnRenamed("direction", f"{mode}_direction").drop(
+            "board", "total", "n_morning", "board_ratio"
+        )
+
+    rail = study.rail_by_station(**_morning_sums(study, "rail_total"))
+    bus = bus_in_reach(study, radii_m, **_morning_sums(study, "bus_total"))
+    both = F.col("rail_total") + F.col("bus_total")
     return (
-        direction_join(study, radii_m)
-        .join(zones, ["radius_m", "station", "line"])
+        labelled(rail, "rail")
+        .join(labelled(bus, "bus"), ["sta_lat", "sta_lon"])
+        .withColumn(SHARE, share_pct(F.col("rail_total"), both))
+        .withColumn("direction_match", match_flag(F.col("rail_direction"), F.col("bus_direction")))
         .groupBy("radius_m", "direction_match")
         .agg(
             F.count("*").alias("n_zones"),
