@@ -21,7 +21,7 @@ from oracle_queries import oracle_queries
 from walkshed import testdata
 from walkshed.functions.geo import great_circle_km
 from walkshed.operators import reshape
-from walkshed.plans import analysis, audit, charts, places, study as studies, zones
+from walkshed.plans import analysis, audit, charts, places, study as studies, views, zones
 from walkshed.schema import BUS, RAIL, SERVICE_DATASETS
 from walkshed.session import new_folder
 from walkshed.sources import hourly, pages, raw_csv
@@ -214,6 +214,18 @@ def _haversine(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _view_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SQL over the registered views, as a notebook would write it."""
+    views.register_views(testdata.study(spark, sf_dir), [500])
+    return spark.sql("""
+        SELECT z.line_type, COUNT(*) AS n_pairs, COUNT(DISTINCT p.stop_id) AS n_stops, SUM(t.bus_total) AS bus_total
+        FROM zone_typed_500 z
+        JOIN pairs_500 p ON z.station = p.station AND z.line = p.line
+        JOIN bus_total t ON p.stop_id = t.stop_id
+        GROUP BY z.line_type
+    """)
+
+
 def _places() -> dict[str, Query]:
     stop_master, station_master = testdata.stop_master, testdata.station_master
     return {
@@ -236,6 +248,7 @@ def _places() -> dict[str, Query]:
         "rail_total": _on_study(zones.rail_total),
         "bus_total": _on_study(zones.bus_total),
         "stage_counts": _on_study(audit.stage_counts),
+        "view_query": _view_query,
     }
 
 

@@ -95,6 +95,10 @@ def main() -> None:
     # All result tables at both radii from staged facts, as one session would make them.
     timed("report_all_tables", lambda: jobs.write_report(study(staged=True), f"{base}/report"))
 
+    records = {
+        "rail": testdata.rail_wide(spark, SF_DIR).count(),
+        "bus": testdata.bus_wide(spark, SF_DIR).count(),
+    }
     scale = re.search(r"sf([0-9.]+)", SF_DIR)
     print(
         json.dumps(
@@ -104,12 +108,8 @@ def main() -> None:
                 "unit": "sec",
                 "queries": seconds,
                 "sf": float(scale.group(1)) if scale else SF_DIR,
-                "wide_rows": {
-                    mode: n for mode, n in (
-                        ("rail", testdata.rail_wide(spark, SF_DIR).count()),
-                        ("bus", testdata.bus_wide(spark, SF_DIR).count()),
-                    )
-                },
+                "raw_records": records,
+                "raw_records_per_sec": {m: round(n / seconds[f"preprocess_{m}"]) for m, n in records.items()},
             }
         )
     )

@@ -324,6 +324,10 @@ PLAIN: dict[str, str] = {
         UNION ALL SELECT 'bus_total', COUNT(*) FROM bus_total
         UNION ALL SELECT concat('pairs_', radius_m), COUNT(*) FROM pairs GROUP BY radius_m
         UNION ALL SELECT concat('zones_', radius_m), COUNT(*) FROM zone GROUP BY radius_m""",
+    "view_query": """SELECT z.line_type, COUNT(*) AS n_pairs, COUNT(DISTINCT p.stop_id) AS n_stops, CAST(SUM(t.bus_total) AS BIGINT) AS bus_total
+        FROM zone z JOIN pairs p ON z.radius_m = p.radius_m AND z.station = p.station AND z.line = p.line
+             JOIN bus_total t ON p.stop_id = t.stop_id
+        WHERE z.radius_m = 500 GROUP BY 1""",
     "chart_share_hist": """SELECT radius_m, bin, n_zones, bin*2.5e0 AS share_from, (bin+1)*2.5e0 AS share_to FROM (
         SELECT radius_m, CAST(least(floor(share/2.5e0), 39) AS INT) AS bin, COUNT(*) AS n_zones FROM zone GROUP BY 1,2) t""",
     "chart_type_share": f"SELECT radius_m, line_type, {OVERALL} AS overall_share, COUNT(*) AS n_zones FROM zone GROUP BY 1,2",

@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from conftest import plan_text, rows
 from walkshed import jobs
 from walkshed.operators.reshape import packed_records
-from walkshed.schema import BUS, LANDED_PAGE, RAIL
+from walkshed.plans import analysis
+from walkshed.plans.study import Study
+from walkshed.schema import LANDED_PAGE, RAIL, STATION_MASTER, STOP_MASTER
 from walkshed.sources import pages
 from walkshed.sources.hourly import read_hourly, write_hourly
 from walkshed.sources.raw_csv import scan_stop_master, scan_station_master, scan_wide
@@ -86,6 +88,16 @@ def test_period_prunes_folders(spark, tmp_path):
     assert "PartitionFilters: [" in plan_text(df) and "PartitionFilters: []" not in plan_text(df)
 
 
+def test_analysis_reads_only_what_it_needs(spark, tmp_path):
+    path = str(tmp_path / "hourly")
+    write_hourly(packed_records(wide(spark, "202412"), RAIL), path, RAIL)
+    empty = spark.createDataFrame([], STATION_MASTER), spark.createDataFrame([], STOP_MASTER)
+    study = Study(read_hourly(spark, path, RAIL), None, *empty)
+    plan = plan_text(analysis.direction_rail(study))
+    assert "In(hr, [7,8,9])" in plan
+    assert "job_ymd" not in plan
+
+
 def test_preprocess_job(spark, tmp_path):
     raw = tmp_path / "raw"
     wide(spark, "202412", "202412", "202501").coalesce(1).write.option("header", "true").csv(str(raw))

@@ -2,7 +2,7 @@
 
     spark-submit ... walkshed preprocess rail SOURCE TARGET
     spark-submit ... walkshed preprocess bus SOURCE TARGET --only-given-months
-    spark-submit ... walkshed report BASE TARGET
+    spark-submit ... walkshed report TARGET --rail HOURLY --bus HOURLY --stations CSV --stops CSV
 """
 
 from __future__ import annotations
@@ -24,8 +24,11 @@ def main() -> None:
     pre.add_argument("--one-header-per", choices=["file", "folder"], default="file")
     pre.add_argument("--only-given-months", action="store_true")
     rep = commands.add_parser("report", help="hourly tables and coordinates to result tables")
-    rep.add_argument("base")
     rep.add_argument("target")
+    rep.add_argument("--rail", required=True, help="hourly rail table")
+    rep.add_argument("--bus", required=True, help="hourly bus table")
+    rep.add_argument("--stations", required=True, help="station coordinates")
+    rep.add_argument("--stops", required=True, help="stop coordinates")
     rep.add_argument("--first-ym", type=int)
     rep.add_argument("--last-ym", type=int)
     args = parser.parse_args()
@@ -35,7 +38,9 @@ def main() -> None:
         spec = {RAIL.name: RAIL, BUS.name: BUS}[args.mode]
         jobs.preprocess(spark, args.source, args.target, spec, args.one_header_per, args.only_given_months)
     else:
-        study = jobs.load_study(spark, args.base, first_ym=args.first_ym, last_ym=args.last_ym)
+        study = jobs.load_study(
+            spark, args.rail, args.bus, args.stations, args.stops, first_ym=args.first_ym, last_ym=args.last_ym
+        )
         jobs.write_report(study, args.target)
 
 

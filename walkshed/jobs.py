@@ -38,19 +38,22 @@ def preprocess_audit(
 
 def load_study(
     spark: SparkSession,
-    base: str,
+    rail: str,
+    bus: str,
+    stations: str,
+    stops: str,
     settings: Settings = Settings(),
     staged: bool = True,
     radii_m: Sequence[int] = RADII_M,
     first_ym: int | None = None,
     last_ym: int | None = None,
 ) -> Study:
-    """A study over ``base/processed/{subway,bus}`` and ``base/raw/coords``, of a period if given."""
+    """A study over the hourly tables and coordinate files at the given paths, of a period if given."""
     return Study(
-        read_hourly(spark, f"{base}/processed/subway", RAIL, first_ym, last_ym),
-        read_hourly(spark, f"{base}/processed/bus", BUS, first_ym, last_ym),
-        scan_station_master(spark, f"{base}/raw/coords/subway_stations_xy.csv"),
-        scan_stop_master(spark, f"{base}/raw/coords/bus_stops_xy.csv"),
+        read_hourly(spark, rail, RAIL, first_ym, last_ym),
+        read_hourly(spark, bus, BUS, first_ym, last_ym),
+        scan_station_master(spark, stations),
+        scan_stop_master(spark, stops),
         settings,
         staged,
         radii_m,
