@@ -7,6 +7,7 @@ both engines agree; the two-digit presentation columns are left out for the same
 
 from __future__ import annotations
 
+import importlib
 import sys
 from collections.abc import Callable
 from functools import partial
@@ -318,10 +319,35 @@ def _charts() -> dict[str, Query]:
     }
 
 
-def queries() -> dict[str, Query]:
+def _walkshed_queries() -> dict[str, Query]:
     return _sources() | _reshape() | _places() | _analyses() | _charts()
 
 
+# --- training-data operators, which may be absent ---------------------------------------
+
+
+def _llm() -> list:
+    """The modules that register training-data queries; none if they are not installed."""
+    found = []
+    for name in ("walkshed.llm.queries", "corpus_pipeline"):
+        try:
+            found.append(importlib.import_module(name))
+        except ModuleNotFoundError as missing:
+            if missing.name not in ("walkshed.llm", "walkshed.llm.queries", "corpus_pipeline"):
+                raise
+    return found
+
+
+def queries() -> dict[str, Query]:
+    found = _walkshed_queries()
+    for module in _llm():
+        found |= module.queries()
+    return found
+
+
 def oracle_sql() -> dict[str, str]:
     """DuckDB twins; ``landing_sizes`` has none, as file sizes are not in the tables."""
-    return oracle_queries()
+    found = oracle_queries()
+    for module in _llm():
+        found |= module.oracle_sql()
+    return found
