@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from walkshed.llm import decontaminate, line_dedup, mixing, sharding, simhash
+from walkshed.llm import ann, decontaminate, html_extract, language_id, line_dedup, mixing, pii, sharding, simhash, toxicity
 from walkshed.llm.common import read_table
 
 #: Words of a text in the normal form of the decontamination, as a list.
@@ -99,12 +99,45 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    found = html_extract.extract(read_table(spark, sf_dir, "pages")).withColumnRenamed("main__", "text")
+    return found.withColumn("n_chars", F.char_length("text").cast("bigint"))
+
+
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the mix takes of every document."""
     found = mixing.mix_counts(read_table(spark, sf_dir, "documents"))
     return found.withColumnRenamed("id", "doc_id").drop("source")
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document."""
+    found = toxicity.train_and_score(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+    return found.withColumnRenamed("id", "doc_id").withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
+#: For the test tables only; a real key is a secret of whoever runs the job.
+PII_KEY = "key of the test tables"
+
+
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with personal data replaced by pseudonyms."""
+    found = pii.pseudonymise(read_table(spark, sf_dir, "documents"), PII_KEY)
+    return found.select(
+        F.col("id").alias("doc_id"),
+        F.col("pseudo_text").alias("text"),
+        F.size("found").cast("bigint").alias("n_replaced"),
+        F.col("found").alias("replaced"),
+    )
+
+
+def op6_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The nearest vectors of every 50th one."""
+    found = ann.nearest_of_some(read_table(spark, sf_dir, "embeddings"))
+    return found.withColumnRenamed("id", "vec_id")
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark passages in every document."""
     found = decontaminate.find_passages(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
@@ -135,11 +168,27 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), "n_lines", "n_dropped", digest)
 
 
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document."""
+    return language_id.train_and_predict(read_table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
+REGISTERED = (
+    op1_simhash,
+    op2_html_extraction,
+    op3_mixing,
+    op4_toxicity,
+    op5_pii,
+    op6_nearest,
+    op7_decontamination,
+    op8_sharding,
+    op9_line_dedup,
+    op10_language_id,
+)
+
+
 def queries() -> dict[str, Query]:
-    return {
-        q.__name__: q
-        for q in (op1_simhash, op3_mixing, op7_decontamination, op8_sharding, op9_line_dedup)
-    }
+    return {query.__name__: query for query in REGISTERED}
 
 
 def oracle_sql() -> dict[str, str]:
