@@ -176,6 +176,7 @@ def find_passages(
 def without_passages(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **kwargs) -> DataFrame:
     """``docs`` without rows in which a benchmark passage is found; rows without an id are judged like others."""
     marked = docs.withColumns({"row__": F.struct(id_col, F.xxhash64(text_col))})
-    hit = find_passages(marked, benchmark, "row__", text_col, **kwargs).where("n_hit > 0").select("id").distinct()
+    hit = find_passages(marked, benchmark, "row__", text_col, **kwargs).where("n_hit > 0")
+    hit = stage(hit.select("id").distinct(), "contaminated")
     same = marked["row__"].eqNullSafe(hit["id"])
     return marked.join(hit, same, "left_anti").drop("row__")

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from walkshed.llm.common import crc32_text, map_texts, pieces
+from walkshed.llm.common import crc32_text, map_texts, pieces, stage
 
 BITS = 14
 #: The most rows to train on: of one language, and of all.
@@ -97,11 +97,12 @@ def fit(languages: list[str], of_row: np.ndarray, packed: np.ndarray, bits: int
 
 def _sample(rows: DataFrame, max_per_language: int, max_rows: int, bits: int) -> list:
     """(lang, packed presence) of a bounded sample: of each language the first ones by hash."""
-    counts = rows.groupBy("lang").count()
+    counts = stage(rows.groupBy("lang").count(), "languages")
     n = counts.count()
     limit = max(1, min(max_per_language, max_rows // max(n, 1)))
     unit = F.pmod(F.xxhash64("id", "text"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    share = counts.select(F.col("lang").alias("of"), (F.lit(1.5 * limit + 20) / F.col("count")).alias("share"))
+    # Staged, Spark knows the size: a small table is broadcast and the texts stay where they are.
+    share = stage(counts.select(F.col("lang").alias("of"), (F.lit(1.5 * limit + 20) / F.col("count")).alias("share")), "shares")
     drawn = rows.join(share, rows["lang"] == share["of"]).withColumn("unit", unit).where("unit <= share")
 
     def work():
@@ -193,5 +194,6 @@ def of_known_language(docs: DataFrame, model: Model | None, id_col: str = "doc_i
     marked = docs.withColumn("row__", F.struct(F.col(id_col), F.xxhash64(text_col)))
     gone = predict(marked, model, "row__", text_col).where(
         (F.col("lang_pred") == UNKNOWN) | (F.col("score") < min_score)
-    ).select("id").distinct()
+    )
+    gone = stage(gone.select("id").distinct(), "rejected")
     return marked.join(gone, marked["row__"].eqNullSafe(gone["id"]), "left_anti").drop("row__")
