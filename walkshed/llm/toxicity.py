@@ -136,21 +136,23 @@ def train(
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(
         F.broadcast(sample), F.col("id") == F.col("label_id")
     )
+    # Dealt once, before the features are made: every round reads the shards' files as they are.
+    shards = max(1, min(MAX_SHARDS, sample.count() // SHARD_ROWS))
+    shard = F.pmod(F.xxhash64("id", F.lit(1)), F.lit(shards))
+    dealt = rows.repartition(shards, shard).sortWithinPartitions("unit", "id")
 
     def work():
         return lambda texts: [pa.array([distinct_features(t, bits) for t in texts], pa.list_(pa.int32()))]
 
-    rows = stage(map_texts(rows, ["id", "label", "unit"], "text", "places array<int>", work), "toxic-sample")
+    rows = stage(map_texts(dealt, ["label"], "text", "places array<int>", work), "toxic-sample")
     counts = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
     ones, others = counts.get(1, 0), counts.get(0, 0)
     if not ones or not others:
         rate = (ones + 0.5) / (ones + others + 1)
         return Model(bits, np.zeros(0, np.int64), np.zeros(0, np.float32), math.log(rate / (1 - rate)))
-    shards = max(1, min(MAX_SHARDS, (ones + others) // SHARD_ROWS))
-    dealt = rows.repartition(shards, F.pmod(F.xxhash64("id", F.lit(1)), F.lit(shards))).sortWithinPartitions("unit", "id")
     state = State.new(bits)
     for _ in range(ROUNDS):
-        state = _round(dealt, state, bits)
+        state = _round(rows, state, bits)
     weights = state.weights(slice(None)).astype(np.float32)
     places = np.flatnonzero(weights[:-1])
     # Classes are sampled at different rates; the bias goes back to the rates of the labels.
@@ -159,9 +161,9 @@ def train(
     return Model(bits, places, weights[places], float(weights[-1]) + shift)
 
 
-def _round(dealt: DataFrame, state: State, bits: int) -> State:
+def _round(rows: DataFrame, state: State, bits: int) -> State:
     """Every shard learns from its rows, starting at ``state``; the mean of what they reach."""
-    held = dealt.sparkSession.sparkContext.broadcast((state.z.astype(np.float32), state.n.astype(np.float32)))
+    held = rows.sparkSession.sparkContext.broadcast((state.z.astype(np.float32), state.n.astype(np.float32)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, bias, seen = State(*(x.astype(np.float64) for x in held.value)), np.array([1 << bits]), 0
@@ -173,7 +175,7 @@ def _round(dealt: DataFrame, state: State, bits: int) -> State:
             data = [[x.astype(np.float32).tobytes()] for x in (own.z, own.n)]
             yield pa.RecordBatch.from_arrays([pa.array(x, pa.binary()) for x in data], names=["z", "n"])
 
-    found = dealt.select("places", "label").mapInArrow(run, "z binary, n binary").collect()  # one row a shard
+    found = rows.select("places", "label").mapInArrow(run, "z binary, n binary").collect()  # one row a shard
     held.unpersist()
     return State(*(np.mean([np.frombuffer(r[c], np.float32) for r in found], axis=0, dtype=np.float64) for c in ("z", "n")))
 
