@@ -20,7 +20,8 @@ from pyspark.sql import DataFrame
 
 from walkshed.llm.common import map_texts
 
-#: Lines whose lengths are summed, and empty lines that stand for an element left out.
+#: Lines whose lengths are summed, and empty lines that stand for an element left out around a text.
+#: What is left out within a text, such as an advert, leaves one empty line.
 WINDOW, GAP = 3, 4
 #: A candidate joins the heaviest one from this part of its weight on.
 JOINS = 0.3
@@ -55,6 +56,9 @@ _BOILERPLATE = re.compile(
     re.I,
 )
 
+_WITHIN = re.compile(r"(?:^|[^a-z])(?:ads?|advert\w*|sponsor\w*|promos?|widgets?|newsletter|subscri\w+|signup|shar\w+|social|related)(?:$|[^a-z])", re.I)
+_WITHIN_TAGS = frozenset({"form", "button", "select", "fieldset", "datalist", "canvas", "audio", "video", "map"})
+
 
 class _Line:
     __slots__ = ("parts", "links", "inside")
@@ -77,7 +81,7 @@ def _is_boilerplate(tag: str, attributes: str, in_content: bool) -> bool:
 def page_lines(page: str) -> list[tuple[str, int, int]]:
     """(text, characters in links, content element or 0) of every line, "" where text is left out."""
     lines, content, inside = [_Line(0)], 0, []
-    skipped, depth, links, at, size = "", 0, 0, 0, len(page)
+    skipped, depth, gap, links, at, size = "", 0, 0, 0, 0, len(page)
 
     def text_to(end: int) -> None:
         if end > at and not skipped:
@@ -86,8 +90,9 @@ def page_lines(page: str) -> list[tuple[str, int, int]]:
             if links:
                 lines[-1].links += len(piece.strip())
 
-    def new_line(n: int = 1) -> None:
-        for _ in range(n):
+    def new_line(empty: int = 0) -> None:
+        """Start a line, after empty ones; a line without text so far is gone on with."""
+        for _ in range(empty or any(map(str.strip, lines[-1].parts))):
             lines.append(_Line(inside[-1][1] if inside else 0))
 
     while (found := _TOKEN.search(page, at)) is not None:
@@ -101,7 +106,7 @@ def page_lines(page: str) -> list[tuple[str, int, int]]:
                 depth += -1 if closing else 0 if attributes.endswith("/") else 1
                 if depth <= 0:
                     skipped = ""
-                    new_line(GAP)
+                    new_line(gap)
                 continue
             if not (tag in CONTENT and skipped not in CONTENT and not closing and depth_open(page, skipped, at)):
                 continue
@@ -111,12 +116,13 @@ def page_lines(page: str) -> list[tuple[str, int, int]]:
             end = re.compile(rf"</{tag}\s*>", re.I).search(page, at)
             at = end.end() if end else size
             if tag not in ("script", "style"):
-                new_line()
+                new_line(1)
             continue
         if tag == "a":
             links = 0 if closing else 1
         if not closing and tag not in VOID and not attributes.endswith("/") and _is_boilerplate(tag, attributes, bool(inside)):
             skipped, depth = tag, 1
+            gap = 1 if tag in _WITHIN_TAGS or _WITHIN.search(attributes) else GAP
             continue
         if tag in CONTENT:
             new_line()
