@@ -165,7 +165,7 @@ def _reshape() -> dict[str, Query]:
         return lambda spark, d: reshape.standardize(wide(spark, d), spec)
 
     def on_standard(wide, spec, operator):
-        return lambda spark, d: operator(reshape.standardize(wide(spark, d), spec), spec.key)
+        return lambda spark, d: operator(reshape.standardize(wide(spark, d), spec), spec)
 
     def long(wide, spec, *columns):
         return lambda spark, d: reshape.hourly(wide(spark, d), spec).select(*columns)
@@ -174,10 +174,10 @@ def _reshape() -> dict[str, Query]:
     return {
         "standardize_rail": standard(rail, RAIL),
         "standardize_bus": standard(bus, BUS),
-        "dedup_rail": on_standard(rail, RAIL, reshape.dedup),
-        "dedup_bus": on_standard(bus, BUS, reshape.dedup),
-        "dedup_audit_rail": on_standard(rail, RAIL, reshape.dedup_audit),
-        "dedup_audit_bus": on_standard(bus, BUS, reshape.dedup_audit),
+        "dedup_rail": on_standard(rail, RAIL, lambda df, s: reshape.dedup(df, s.key, s.delivered)),
+        "dedup_bus": on_standard(bus, BUS, lambda df, s: reshape.dedup(df, s.key, s.delivered)),
+        "dedup_audit_rail": on_standard(rail, RAIL, lambda df, s: reshape.dedup_audit(df, s.key)),
+        "dedup_audit_bus": on_standard(bus, BUS, lambda df, s: reshape.dedup_audit(df, s.key)),
         "unpivot_rail": long(rail, RAIL, *RAIL.key, "job_ymd", "hr", "on_cnt", "off_cnt"),
         "unpivot_bus": lambda spark, d: reshape.hourly(bus(spark, d), BUS)
         .groupBy("stop_id", "hr")
@@ -235,6 +235,7 @@ def _places() -> dict[str, Query]:
         "rail_coord_unique": _on_study(lambda s: s.stations),
         "bus_coord_unique": _on_study(lambda s: s.stops),
         "bus_coord_duplicates": _on_study(audit.duplicate_stops),
+        "unlocated_rows": _on_study(audit.unlocated_rows),
         "stops_without_ferry": lambda spark, d: studies.without_ferry(
             stop_master(spark, d), testdata.SETTINGS.ferry_stop_type
         ),

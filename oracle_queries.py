@@ -54,28 +54,30 @@ TABLES: dict[str, str] = {
                concat(CASE WHEN s.s_suppkey % 50 = 49 THEN 'Old ST' ELSE 'ST' END, CAST(s.s_suppkey AS VARCHAR),
                       CASE WHEN s.s_suppkey % 7 = 0 THEN '(sub)' ELSE '' END) AS BLDN_NM,
                CASE n.n_name WHEN 'NATION_5' THEN 'NATION_5(ext)' WHEN 'NATION_6' THEN 'NATION_6 line' ELSE n.n_name END AS ROUTE,
-               37.5e0  + CAST((s.s_suppkey*7919) % 10007 AS DOUBLE)/10007e0*0.1e0 + c.copy*0.0005e0 AS LAT,
-               126.9e0 + CAST((s.s_suppkey*4729) % 10009 AS DOUBLE)/10009e0*0.125e0 AS LOT
+               CASE WHEN c.copy <> 2 THEN 37.5e0  + CAST((s.s_suppkey*7919) % 10007 AS DOUBLE)/10007e0*0.1e0 + c.copy*0.0005e0 END AS LAT,
+               CASE WHEN c.copy <> 2 THEN 126.9e0 + CAST((s.s_suppkey*4729) % 10009 AS DOUBLE)/10009e0*0.125e0 END AS LOT
         FROM supplier s JOIN nation n ON s.s_nationkey = n.n_nationkey
-             JOIN (SELECT 0 AS copy UNION ALL SELECT 1) c ON c.copy = 0 OR s.s_suppkey % 20 = 0""",
+             JOIN (SELECT 0 AS copy UNION ALL SELECT 1 UNION ALL SELECT 2) c
+               ON c.copy = 0 OR c.copy = 1 AND s.s_suppkey % 20 = 0 OR c.copy = 2 AND s.s_suppkey % 30 = 0""",
     "stop_master": """
         SELECT CASE WHEN p_partkey % 6 = 0 THEN concat('0', CAST(p_partkey AS VARCHAR)) ELSE CAST(p_partkey AS VARCHAR) END AS STOPS_NO,
                p_name AS STOPS_NM,
                lpad(CAST(p_partkey AS VARCHAR), 12, '0') AS NODE_ID,
                CASE WHEN p_partkey % 97 = 0 THEN 'FERRY' WHEN p_partkey % 89 = 0 THEN NULL ELSE p_type END AS STOPS_TYPE,
                126.9e0 + CAST((p_partkey*8191) % 10009 AS DOUBLE)/10009e0*0.125e0 AS XCRD,
-               37.5e0  + CAST((p_partkey*6101) % 10007 AS DOUBLE)/10007e0*0.1e0 + c.copy*0.0005e0 AS YCRD
-        FROM part JOIN (SELECT 0 AS copy UNION ALL SELECT 1) c ON c.copy = 0 OR p_partkey % 50 = 0""",
+               CASE WHEN c.copy <> 2 THEN 37.5e0  + CAST((p_partkey*6101) % 10007 AS DOUBLE)/10007e0*0.1e0 + c.copy*0.0005e0 END AS YCRD
+        FROM part JOIN (SELECT 0 AS copy UNION ALL SELECT 1 UNION ALL SELECT 2) c
+               ON c.copy = 0 OR c.copy = 1 AND p_partkey % 50 = 0 OR c.copy = 2 AND p_partkey % 40 = 0""",
     "stations": """
         SELECT sta_norm, line_norm, sta_lat, sta_lon FROM (
           SELECT regexp_replace(BLDN_NM, '[(].*[)]', '') AS sta_norm, ROUTE AS line_norm, LAT AS sta_lat, LOT AS sta_lon,
                  row_number() OVER (PARTITION BY regexp_replace(BLDN_NM, '[(].*[)]', ''), ROUTE ORDER BY LAT, LOT) AS rn
-          FROM station_master) t WHERE rn = 1""",
+          FROM station_master WHERE LAT IS NOT NULL AND LOT IS NOT NULL) t WHERE rn = 1""",
     "stops": """
         SELECT stop_id, stop_lat, stop_lon, stop_type FROM (
           SELECT STOPS_NO AS stop_id, YCRD AS stop_lat, XCRD AS stop_lon, STOPS_TYPE AS stop_type,
                  row_number() OVER (PARTITION BY STOPS_NO ORDER BY YCRD, XCRD, STOPS_TYPE) AS rn
-          FROM stop_master WHERE STOPS_TYPE <> 'FERRY') t WHERE rn = 1""",
+          FROM stop_master WHERE STOPS_TYPE <> 'FERRY' AND YCRD IS NOT NULL AND XCRD IS NOT NULL) t WHERE rn = 1""",
     "rail_normed": """
         SELECT r.*, regexp_replace(r.station, '[(].*[)]', '') AS sta_norm,
                CASE r.line WHEN 'NATION_5' THEN 'NATION_5(ext)' WHEN 'NATION_6' THEN 'NATION_6 line' ELSE r.line END AS line_norm
@@ -176,6 +178,10 @@ for mode, key in (("rail", "ym, line, station"), ("bus", "ym, route_no, stop_id"
         for kind, count in (("ON", "on_cnt"), ("OFF", "off_cnt"))
     )
     names = ", ".join(hour_columns(mode))
+    if mode == "bus":  # one month has hour 1 under the other suffix
+        for kind in ("ON", "OFF"):
+            names = names.replace(f"HR_1_GET_{kind}_NOPE", f"CASE WHEN ym <> '199410' THEN HR_1_GET_{kind}_NOPE END AS HR_1_GET_{kind}_NOPE")
+            names += f", CASE WHEN ym = '199410' THEN HR_1_GET_{kind}_NOPE END AS HR_1_GET_{kind}_TNOPE"
     if mode == "rail":
         head = "ym AS USE_MM, line AS SBWY_ROUT_LN_NM, station AS STTN, concat(ym, CASE WHEN copy = 0 THEN '03' ELSE '05' END) AS JOB_YMD"
         extra = ""
@@ -198,14 +204,16 @@ TABLES["bus_standard"] = """
 for mode, key, date in (("rail", "ym, line, station", "job_ymd"), ("bus", "ym, route_no, stop_id", "reg_ymd")):
     TABLES[f"{mode}_dedup"] = f"""
         SELECT * EXCLUDE (rn) FROM (
-          SELECT *, row_number() OVER (PARTITION BY {key} ORDER BY {date}) AS rn FROM {mode}_standard) t WHERE rn = 1"""
+          SELECT *, row_number() OVER (PARTITION BY {key} ORDER BY {date} DESC) AS rn FROM {mode}_standard) t WHERE rn = 1"""
 
     def long_count(kind: str) -> str:
         arms = " ".join(f"WHEN {h} THEN {hour_column(mode, h, kind)}" for h in HOURS)
+        if mode == "bus":
+            arms = arms.replace(f"HR_1_GET_{kind}_NOPE", f"coalesce(HR_1_GET_{kind}_NOPE, HR_1_GET_{kind}_TNOPE)")
         return f"coalesce(CAST(CAST(CASE h.hr {arms} END AS DOUBLE) AS BIGINT), 0)"
 
     TABLES[f"{mode}_long"] = f"""
-        SELECT d.* EXCLUDE ({', '.join(hour_columns(mode))}), CAST(h.hr AS INT) AS hr,
+        SELECT d.* EXCLUDE ({', '.join(hour_columns(mode) + (["HR_1_GET_ON_TNOPE", "HR_1_GET_OFF_TNOPE"] if mode == "bus" else []))}), CAST(h.hr AS INT) AS hr,
                {long_count('ON')} AS on_cnt, {long_count('OFF')} AS off_cnt,
                CAST(CAST(d.ym AS INT) // 100 AS INT) AS year, CAST(CAST(d.ym AS INT) % 100 AS INT) AS month
         FROM {mode}_dedup d CROSS JOIN (SELECT unnest(range(24)) AS hr) h"""
@@ -288,6 +296,8 @@ PLAIN: dict[str, str] = {
     "rail_coord_unique": "SELECT * FROM stations",
     "bus_coord_unique": "SELECT * FROM stops",
     "bus_coord_duplicates": "SELECT COUNT(*) AS n_rows, COUNT(DISTINCT STOPS_NO) AS n_ids, COUNT(*) - COUNT(DISTINCT STOPS_NO) AS n_surplus FROM stop_master",
+    "unlocated_rows": """SELECT 'rail' AS master, COUNT(*) AS n_rows, COUNT(*) FILTER (LAT IS NULL OR LOT IS NULL) AS n_unlocated FROM station_master
+        UNION ALL SELECT 'bus', COUNT(*), COUNT(*) FILTER (YCRD IS NULL OR XCRD IS NULL) FROM stop_master""",
     "stops_without_ferry": "SELECT * FROM stop_master WHERE STOPS_TYPE <> 'FERRY'",
     "stop_type_counts": "SELECT STOPS_TYPE AS stop_type, COUNT(*) AS n_rows FROM stop_master GROUP BY 1",
     "route_counts": "SELECT ROUTE AS route, COUNT(*) AS n_rows FROM station_master GROUP BY 1",

@@ -80,6 +80,17 @@ def test_reload_of_one_month_keeps_the_others(spark, tmp_path):
     assert rows(read_hourly(spark, path, RAIL).select("ym").distinct()) == [("202501",)]
 
 
+def test_months_written_with_other_columns_are_read_by_the_declared_schema(spark, tmp_path):
+    for n, order in enumerate((("202412", "202501"), ("202501", "202412"))):
+        path = str(tmp_path / f"hourly{n}")
+        for ym in order:
+            month = wide(spark, ym)
+            month = month.drop("JOB_YMD") if ym == "202501" else month
+            write_hourly(packed_records(month, RAIL), path, RAIL, only_given_months=True)
+        found = read_hourly(spark, path, RAIL)
+        assert rows(found.select("ym", "job_ymd").distinct()) == [("202412", "20250101"), ("202501", None)]
+
+
 def test_period_prunes_folders(spark, tmp_path):
     path = str(tmp_path / "hourly")
     write_hourly(packed_records(wide(spark, "202412", "202501", "202502"), RAIL), path, RAIL)

@@ -28,8 +28,12 @@ def renamed(value: Column, renames: Mapping[str, str]) -> Column:
 
 
 def category(value: Column, members: Mapping[str, Sequence[str]], other: str) -> Column:
-    """Name of the category listing ``value``; ``other`` for the rest and for NULL."""
-    by_member = [F.lit(x) for name, listed in members.items() for m in listed for x in (m, name)]
+    """Name of the first category listing ``value``; ``other`` for the rest and for NULL."""
+    first: dict[str, str] = {}
+    for name, listed in members.items():
+        for member in listed:
+            first.setdefault(member, name)
+    by_member = [F.lit(x) for pair in first.items() for x in pair]
     if not by_member:
         return F.lit(other)
     return F.coalesce(F.element_at(F.create_map(*by_member), value), F.lit(other))

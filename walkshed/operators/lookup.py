@@ -16,8 +16,13 @@ def measured_bytes(df: DataFrame) -> int:
     """Size of ``df`` in Spark's row format, counted by a job over its rows."""
     width = F.lit(_ROW_OVERHEAD + 8 * len(df.schema))
     for f in df.schema:
-        if isinstance(f.dataType, T.StringType):
+        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
             width = width + F.coalesce(F.octet_length(F.col(f.name)) + 8, F.lit(0))
+        elif isinstance(f.dataType, T.DecimalType):
+            width = width + 16
+        elif isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            # Written out with its field names; twice that is above what the row format takes.
+            width = width + F.coalesce(2 * F.octet_length(F.to_json(F.struct(f.name))), F.lit(0))
     return df.agg(F.sum(width.cast("bigint")).alias("bytes")).first().bytes or 0
 
 

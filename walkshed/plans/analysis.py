@@ -307,8 +307,9 @@ def top_stops(study: Study, radius_m: int, n: int = 20) -> DataFrame:
     ``total_trips`` counts a stop once for every zone it lies in; ``stop_trips`` is its plain sum.
     """
     return (
-        study.bus_by_stop(stop_name=F.max("stop_name"), stop_trips=F.sum(trips()))
+        study.bus_by_stop(stop_trips=F.sum(trips()))
         .join(stop_memberships(study, [radius_m]), "stop_id")
+        .join(study.stop_names, "stop_id", "left")
         .withColumn("total_trips", F.col("stop_trips") * F.col("n_zones"))
         .select(
             "stop_id",

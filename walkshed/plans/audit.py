@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from walkshed.functions.numbers import share_pct
-from walkshed.plans.study import Study
+from walkshed.plans.study import Study, has_place
 from walkshed.plans.zones import bus_in_reach
 
 
@@ -31,6 +31,18 @@ def duplicate_stops(study: Study) -> DataFrame:
     )
 
 
+def unlocated_rows(study: Study) -> DataFrame:
+    """Rows of each coordinate master, and those without a coordinate, which locate nothing."""
+
+    def count(master: DataFrame, name: str, lat: str, lon: str) -> DataFrame:
+        return master.agg(
+            F.count("*").alias("n_rows"), F.count_if(~has_place(lat, lon)).alias("n_unlocated")
+        ).select(F.lit(name).alias("master"), "*")
+
+    rail = count(study.station_master, "rail", "LAT", "LOT")
+    return rail.unionByName(count(study.stop_master, "bus", "YCRD", "XCRD"))
+
+
 def match_rate(study: Study) -> DataFrame:
     """How much of each mode's ridership has coordinates, by rows and by keys."""
     stations = study.stations.select("sta_norm", "line_norm", F.lit(1).alias("found"))

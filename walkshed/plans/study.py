@@ -14,10 +14,19 @@ from walkshed.schema import RADII_M, Settings
 from walkshed.session import stage_table
 
 
+def has_place(lat: str, lon: str) -> Column:
+    return F.col(lat).isNotNull() & F.col(lon).isNotNull() & ~F.isnan(lat) & ~F.isnan(lon)
+
+
+def located(master: DataFrame, lat: str, lon: str) -> DataFrame:
+    """Rows with both coordinates; a place without them is not a place to be near to."""
+    return master.where(has_place(lat, lon))
+
+
 def unique_stations(master: DataFrame) -> DataFrame:
     """One row per normalised station name and line: the smallest coordinates win."""
     return (
-        master.select(
+        located(master, "LAT", "LOT").select(
             strip_alias(F.col("BLDN_NM")).alias("sta_norm"),
             F.col("ROUTE").alias("line_norm"),
             F.struct(F.col("LAT").alias("sta_lat"), F.col("LOT").alias("sta_lon")).alias("at"),
@@ -36,7 +45,7 @@ def without_ferry(master: DataFrame, ferry_stop_type: str) -> DataFrame:
 def unique_stops(master: DataFrame, ferry_stop_type: str) -> DataFrame:
     """One row per stop id outside the ferry type: the smallest coordinates win."""
     return (
-        without_ferry(master, ferry_stop_type)
+        located(without_ferry(master, ferry_stop_type), "YCRD", "XCRD")
         .select(
             F.col("STOPS_NO").alias("stop_id"),
             F.struct(
@@ -85,19 +94,23 @@ class Study:
         self._tables: dict[str, DataFrame] = {}
 
     def shared(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
-        """A table several queries use: built once and staged, or a plan of its own if not staged."""
-        if not self.staged:
-            return build()
+        """A table several queries use: built once, and written if the study is staged."""
         if name not in self._tables:
-            self._tables[name] = stage_table(build(), name)
+            self._tables[name] = stage_table(build(), name) if self.staged else build()
         return self._tables[name]
 
     def shared_by_radius(
         self, name: str, radii_m: Sequence[int], build: Callable[[Sequence[int]], DataFrame]
     ) -> DataFrame:
-        """The same for a table with a ``radius_m`` column, staged for all radii of the study at once."""
+        """The same for a table with a ``radius_m`` column, staged for all radii of the study at once.
+
+        Other radii, and studies that are not staged, get a plan for the radii asked for.
+        """
         if not self.staged or not set(radii_m) <= set(self.radii_m):
-            return build(radii_m)
+            key = f"{name}-{'-'.join(map(str, radii_m))}"
+            if key not in self._tables:
+                self._tables[key] = build(radii_m)
+            return self._tables[key]
         whole = self.shared(name, lambda: build(self.radii_m))
         return whole.where(F.col("radius_m").isin(*radii_m))
 
@@ -125,17 +138,29 @@ class Study:
 
     @cached_property
     def bus_facts(self) -> DataFrame:
-        """Bus counts by stop, month and hour over all routes; ``stop_name`` is the largest name."""
+        """Bus counts by stop, month and hour over all routes.
+
+        Sums only: a text among the aggregates would make Spark sort all facts.
+        """
         if not self.staged:
             return self.bus.withColumn("n_rows", F.lit(1).cast("bigint"))
         cube = self.bus.groupBy("stop_id", "ym", "hr").agg(
             F.sum("on_cnt").alias("on_cnt"),
             F.sum("off_cnt").alias("off_cnt"),
-            F.max("stop_name").alias("stop_name"),
             F.count("*").alias("n_rows"),
         )
         return stage_table(cube, "bus-facts")
 
+    @cached_property
+    def stop_names(self) -> DataFrame:
+        """``stop_id, stop_name``: the largest name of each stop, out of its few distinct ones."""
+
+        def build() -> DataFrame:
+            names = self.bus.select("stop_id", "stop_name").distinct()
+            return names.groupBy("stop_id").agg(F.max("stop_name").alias("stop_name"))
+
+        return self.shared("stop-names", build)
+
     def normalised(self, rail: DataFrame) -> DataFrame:
         """Add the names under which the coordinate master knows a station."""
         return rail.withColumn("sta_norm", strip_alias(F.col("station"))).withColumn(
@@ -181,10 +206,10 @@ class Study:
 
     def _pair_sites(self, radii_m: Sequence[int], box_only: bool = False) -> DataFrame:
         """Pairs of positions in the masters; those no place ends up at meet nothing later."""
-        stops = without_ferry(self.stop_master, self.settings.ferry_stop_type)
+        stops = located(without_ferry(self.stop_master, self.settings.ferry_stop_type), "YCRD", "XCRD")
         return radius_pairs(
             stops.select(F.col("YCRD").alias("stop_lat"), F.col("XCRD").alias("stop_lon")).distinct(),
-            self.station_master.select(F.col("LAT").alias("sta_lat"), F.col("LOT").alias("sta_lon")).distinct(),
+            located(self.station_master, "LAT", "LOT").select(F.col("LAT").alias("sta_lat"), F.col("LOT").alias("sta_lon")).distinct(),
             radii_m,
             self.settings.km_per_degree_lat,
             self.settings.km_per_degree_lon,
@@ -194,5 +219,5 @@ class Study:
     def reach(self, radii_m: Sequence[int], box_only: bool = False) -> DataFrame:
         """Stop and station sites within each radius: ``radius_m``, both positions, ``dist_km``."""
         if box_only:
-            return self._pair_sites(radii_m, box_only)
+            return self.shared(f"box-{'-'.join(map(str, radii_m))}", lambda: self._pair_sites(radii_m, box_only))
         return self.shared_by_radius("reach", radii_m, self._pair_sites)

@@ -57,8 +57,8 @@ BUS_OFFICIAL_NAMES = {
     "month": "월",
 }
 
-# Hour columns of both feeds; the bus feed ends hour 1 in _NOPE, the others in _TNOPE.
-HOUR_COLUMN = r"HR_(\d+)_GET_(ON|OFF)_T?NOPE"
+# Hour columns of both feeds. The suffix changes between feeds, hours and months.
+HOUR_COLUMN = r"HR_(\d+)_GET_(ON|OFF)(?:_.*)?"
 
 SERVICE_DATASETS = {"CardSubwayTime": "subway", "CardBusTimeNew": "bus"}
 
@@ -105,10 +105,11 @@ class ModeSpec:
     key: tuple[str, ...]
     place: str
     official_names: Mapping[str, str]
+    delivered: str
 
 
-RAIL = ModeSpec("rail", RAIL_RAW_COLUMNS, ("ym", "line", "station"), "station", RAIL_OFFICIAL_NAMES)
-BUS = ModeSpec("bus", BUS_RAW_COLUMNS, ("ym", "route_no", "stop_id"), "stop_id", BUS_OFFICIAL_NAMES)
+RAIL = ModeSpec("rail", RAIL_RAW_COLUMNS, ("ym", "line", "station"), "station", RAIL_OFFICIAL_NAMES, "job_ymd")
+BUS = ModeSpec("bus", BUS_RAW_COLUMNS, ("ym", "route_no", "stop_id"), "stop_id", BUS_OFFICIAL_NAMES, "reg_ymd")
 
 # Ids are declared as text, so zero padding survives.
 STOP_MASTER = T.StructType([

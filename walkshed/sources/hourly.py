@@ -4,11 +4,19 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from walkshed.operators.reshape import explode_hours
 from walkshed.schema import ModeSpec
 
 
+def table_schema(spec: ModeSpec) -> T.StructType:
+    """Columns of the hourly table: the raw text columns, hour and counts, year and month."""
+    numbers = {"hr": T.IntegerType(), "on_cnt": T.LongType(), "off_cnt": T.LongType(), "year": T.IntegerType(), "month": T.IntegerType()}
+    texts = {name: T.StringType() for name in spec.raw_columns.values()}
+    return T.StructType([T.StructField(name, kind) for name, kind in (texts | numbers).items()])
+
+
 def write_hourly(
     packed: DataFrame, path: str, spec: ModeSpec, only_given_months: bool = False, official_names: bool = False
 ) -> None:
@@ -20,9 +28,11 @@ def write_hourly(
     statistics prune row groups. ``only_given_months`` replaces just the months present in
     ``packed``; otherwise the whole table is replaced.
     """
-    out = explode_hours(packed.hint("rebalance", "year", "month")).sortWithinPartitions(
-        "year", "month", spec.place
-    )
+    out = explode_hours(packed.hint("rebalance", "year", "month"))
+    out = out.select(
+        *[F.col(f.name).cast(f.dataType) if f.name in out.columns else F.lit(None).cast(f.dataType).alias(f.name)
+          for f in table_schema(spec)]
+    ).sortWithinPartitions("year", "month", spec.place)
     partition = ["year", "month"]
     if official_names:
         out = to_official_names(out, spec)
@@ -42,8 +52,15 @@ def read_hourly(
     first_ym: int | None = None,
     last_ym: int | None = None,
 ) -> DataFrame:
-    """Read an hourly table, in our column names; a period skips the other months' folders."""
-    df = from_official_names(spark.read.parquet(path), spec)
+    """Read an hourly table, in our column names; a period skips the other months' folders.
+
+    The schema is the declared one, whatever months were written with: a column that a month
+    lacks is NULL there.
+    """
+    schema = table_schema(spec)
+    if spec.official_names["year"] in spark.read.parquet(path).columns:
+        schema = T.StructType([T.StructField(spec.official_names[f.name], f.dataType) for f in schema])
+    df = from_official_names(spark.read.schema(schema).parquet(path), spec)
     ym = F.col("year") * 100 + F.col("month")
     if first_ym is not None:
         df = df.where(ym >= first_ym)

@@ -33,6 +33,8 @@ SHORT_MONTH = "199704"
 NO_BODY_MONTH = "199808"
 EMPTY_MONTH = "199912"
 PLACES_PER_PAGE = 20
+# A bus month whose hour 1 ends in the other suffix.
+OTHER_SUFFIX_MONTH = "199410"
 
 RAIL_SERVICE, BUS_SERVICE = SERVICE_DATASETS
 HOURS = range(24)
@@ -40,8 +42,9 @@ RAIL_HOUR_COLUMNS = [f"HR_{h}_GET_{kind}_NOPE" for h in HOURS for kind in ("ON",
 BUS_HOUR_COLUMNS = [
     f"HR_{h}_GET_{kind}_{'NOPE' if h == 1 else 'TNOPE'}" for h in HOURS for kind in ("ON", "OFF")
 ]
+OTHER_SUFFIX_COLUMNS = {f"HR_1_GET_{kind}_NOPE": f"HR_1_GET_{kind}_TNOPE" for kind in ("ON", "OFF")}
 RAIL_COLUMNS = [*RAIL_RAW_COLUMNS, *RAIL_HOUR_COLUMNS]
-BUS_COLUMNS = [*BUS_RAW_COLUMNS, *BUS_HOUR_COLUMNS]
+BUS_COLUMNS = [*BUS_RAW_COLUMNS, *BUS_HOUR_COLUMNS, *OTHER_SUFFIX_COLUMNS.values()]
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -114,9 +117,10 @@ def bus_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _twice(df: DataFrame, when: Column) -> DataFrame:
-    """Add ``copy``: every row as copy 0, the rows of ``when`` as copy 1 too."""
-    return df.withColumn("copy", F.explode(F.sequence(F.lit(0), F.when(when, 1).otherwise(0))))
+def _twice(df: DataFrame, when: Column, unlocated: Column | None = None) -> DataFrame:
+    """Add ``copy``: every row as copy 0, the rows of ``when`` as copy 1 and of ``unlocated`` as copy 2 too."""
+    copies = [F.lit(0), F.when(when, 1)] + ([] if unlocated is None else [F.when(unlocated, 2)])
+    return df.withColumn("copy", F.explode(F.array_compact(F.array(*copies))))
 
 
 def _grid(key: Column, factor: int, modulus: int, origin: float, extent: float) -> Column:
@@ -124,7 +128,10 @@ def _grid(key: Column, factor: int, modulus: int, origin: float, extent: float)
 
 
 def station_master(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``BLDN_ID, BLDN_NM, ROUTE, LAT, LOT``; every 20th station has a second, shifted row."""
+    """``BLDN_ID, BLDN_NM, ROUTE, LAT, LOT``; every 20th station has a second, shifted row.
+
+    Every 30th has one more without coordinates.
+    """
     key = F.col("s_suppkey")
     stations = _table(spark, sf_dir, "supplier").join(
         _table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey")
@@ -137,26 +144,30 @@ def station_master(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(F.col("n_name") == "NATION_6", "NATION_6 line")
         .otherwise(F.col("n_name"))
     )
-    return _twice(stations, key % 20 == 0).select(
+    there = F.col("copy") != 2
+    return _twice(stations, key % 20 == 0, key % 30 == 0).select(
         F.lpad(key.cast("string"), 12, "0").alias("BLDN_ID"),
         name.alias("BLDN_NM"),
         route.alias("ROUTE"),
-        (_grid(key, 7919, 10007, 37.5, 0.1) + F.col("copy") * 0.0005).alias("LAT"),
-        _grid(key, 4729, 10009, 126.9, 0.125).alias("LOT"),
+        F.when(there, _grid(key, 7919, 10007, 37.5, 0.1) + F.col("copy") * 0.0005).alias("LAT"),
+        F.when(there, _grid(key, 4729, 10009, 126.9, 0.125)).alias("LOT"),
     )
 
 
 def stop_master(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``STOPS_NO, STOPS_NM, NODE_ID, STOPS_TYPE, XCRD, YCRD``; every 50th stop has a second row."""
+    """``STOPS_NO, STOPS_NM, NODE_ID, STOPS_TYPE, XCRD, YCRD``; every 50th stop has a second row.
+
+    Every 40th has one more without a latitude.
+    """
     key = F.col("p_partkey")
     number = key.cast("string")
-    return _twice(_table(spark, sf_dir, "part"), key % 50 == 0).select(
+    return _twice(_table(spark, sf_dir, "part"), key % 50 == 0, key % 40 == 0).select(
         F.when(key % 6 == 0, F.concat(F.lit("0"), number)).otherwise(number).alias("STOPS_NO"),
         F.col("p_name").alias("STOPS_NM"),
         F.lpad(number, 12, "0").alias("NODE_ID"),
         F.when(key % 97 == 0, "FERRY").when(key % 89 == 0, None).otherwise(F.col("p_type")).alias("STOPS_TYPE"),
         _grid(key, 8191, 10009, 126.9, 0.125).alias("XCRD"),
-        (_grid(key, 6101, 10007, 37.5, 0.1) + F.col("copy") * 0.0005).alias("YCRD"),
+        F.when(F.col("copy") != 2, _grid(key, 6101, 10007, 37.5, 0.1) + F.col("copy") * 0.0005).alias("YCRD"),
     )
 
 
@@ -202,6 +213,9 @@ def bus_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
         .groupBy("ym", "route_no", "stop_id")
         .agg(F.max("stop_name").alias("stop_name"), *_hour_cells(BUS_HOUR_COLUMNS, "HR_3_GET_ON_TNOPE"))
     )
+    other = F.col("ym") == OTHER_SUFFIX_MONTH
+    wide = wide.withColumns({new: F.when(other, F.col(name)) for name, new in OTHER_SUFFIX_COLUMNS.items()})
+    wide = wide.withColumns({name: F.when(~other, F.col(name)) for name in OTHER_SUFFIX_COLUMNS})
     return _twice(wide, F.col("ym") == DOUBLED_MONTH).select(
         F.col("ym").alias("USE_YM"),
         F.col("route_no").alias("RTE_NO"),
@@ -213,6 +227,7 @@ def bus_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("city bus").alias("TRFC_MNS_TYPE_NM"),
         F.concat(F.col("ym"), F.when(F.col("copy") == 0, "03").otherwise("05")).alias("REG_YMD"),
         *BUS_HOUR_COLUMNS,
+        *OTHER_SUFFIX_COLUMNS.values(),
     )
 
 
