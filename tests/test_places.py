@@ -10,6 +10,7 @@ from conftest import plan_text, rows
 from walkshed.functions.labels import category, direction, renamed, strip_alias
 from walkshed.operators.lookup import lookup_join, measured_bytes
 from walkshed.operators.radius import busy_cells, radius_pairs
+from walkshed import testdata
 from walkshed.plans.study import unique_stations, unique_stops
 from walkshed.schema import LINE_RENAMES, LINE_TYPES, OTHER_LINE_TYPE
 
@@ -163,3 +164,24 @@ def test_lookup_is_broadcast_only_within_the_limit(spark):
         assert rows(small) == rows(large)
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_closing_a_study_deletes_its_staged_tables(spark):
+    from pathlib import Path
+
+    with testdata.study(spark, "/root/testdata/sf0.001", staged=True) as study:
+        n = study.stops.count()
+        folder = Path(study.folder.removeprefix("file:"))
+        assert list(folder.glob("stops/*.parquet"))
+    assert not folder.exists() and study.stops.count() == n
+    study.close()
+
+
+def test_views_of_one_study_share_their_plans(spark):
+    study = testdata.study(spark, "/root/testdata/sf0.001")
+    assert study.reach([500]) is study.reach([500]) and study.stops is study.shared("stops", None)
+
+
+def test_top_stops_sort_no_facts(spark, tmp_path):
+    study = testdata.study(spark, "/root/testdata/sf0.001")
+    assert "SortAggregate" not in plan_text(study.bus_by_stop(n=F.sum("on_cnt")))

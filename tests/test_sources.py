@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import plan_text, rows
+from walkshed import __main__ as command_line
 from walkshed import jobs
 from walkshed.operators.reshape import packed_records
 from walkshed.plans import analysis
@@ -173,6 +174,40 @@ def test_month_status(spark):
     ]
 
 
+def test_of_repeated_pages_the_latest_good_one_counts(spark):
+    delivered = [
+        page("202501", 1, body(2, 4)), page("202501", 1, body(2, 4)),  # the second half is missing
+        page("202502", 1, body(None, 2, "ERROR-500")), page("202502", 1, body(2, 2)),
+        page("202503", 1, body(3, 2)),
+    ]
+    df = spark.createDataFrame(delivered, LANDED_PAGE)
+    assert rows(pages.month_status(df), "ym", "status", "n_pages", "n_rows") == [
+        ("202501", "incomplete", 1, 2), ("202502", "complete", 1, 2), ("202503", "excess", 1, 3),
+    ]
+    assert pages.page_rows(df, ["STOPS_ID"], SERVICE).count() == 7
+    at = [F.lit(t).cast("timestamp").alias("fetched_at") for t in ("2025-01-01", "2025-02-01")]
+    first, second = (spark.createDataFrame([page("202501", 1, body(2, 2, first=n))], LANDED_PAGE).select("*", t) for n, t in zip((5, 0), at))
+    assert rows(pages.page_rows(first.unionByName(second), ["STOPS_ID"], SERVICE), "STOPS_ID") == [("00",), ("01",)]
+
+
+def test_landing_from_the_command_line(spark, tmp_path, capsys):
+    source, target, columns = str(tmp_path / "pages"), str(tmp_path / "landed"), json.dumps({SERVICE: ["STOPS_ID", "CNT"]})
+    spark.createDataFrame(PAGES[:3], LANDED_PAGE).write.json(source)
+    command_line.main(["land", source, target, "--columns", columns])
+    command_line.main(["status", source, "--columns", columns])
+    command_line.main(["sizes", target])
+    shown = capsys.readouterr().out
+    assert shown.count("incomplete") == 2 and "total" in shown
+    assert sorted(p.name for p in (tmp_path / "landed" / "bus").glob("ym=*")) == ["ym=202501", "ym=202502"]
+
+
+def test_a_month_with_undeclared_keys_is_not_landed(spark, tmp_path):
+    df = spark.createDataFrame([page("202501", 1, body(2, 2)), page("202502", 1, body(0, 0))], LANDED_PAGE)
+    status = pages.land(df, str(tmp_path / "landed"), {SERVICE: ["STOPS_ID"]})
+    assert rows(status, "ym", "status", "n_undeclared_keys") == [("202501", "changed", 1), ("202502", "empty", 0)]
+    assert not list((tmp_path / "landed").glob("bus/ym=*"))
+
+
 def test_page_rows_have_the_declared_columns(spark):
     found = pages.page_rows(spark.createDataFrame(PAGES, LANDED_PAGE), ["STOPS_ID", "CNT", "NEW"], SERVICE)
     assert rows(found.where("page_ym = '202501'"), "STOPS_ID", "CNT", "NEW") == [
@@ -195,7 +230,7 @@ def test_landing_skips_failed_and_empty_months(spark, tmp_path):
 
 def test_new_pages_land_their_months_whole(spark, tmp_path):
     source, path, checkpoint = (str(tmp_path / n) for n in ("pages", "landed", "checkpoint"))
-    columns = {SERVICE: ["STOPS_ID"]}
+    columns = {SERVICE: ["STOPS_ID", "CNT"]}
 
     def deliver(*delivered):
         spark.createDataFrame(list(delivered), LANDED_PAGE).coalesce(1).write.mode("append").json(source)

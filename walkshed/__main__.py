@@ -2,19 +2,24 @@
 
     spark-submit ... walkshed preprocess rail SOURCE TARGET
     spark-submit ... walkshed preprocess bus SOURCE TARGET --only-given-months
+    spark-submit ... walkshed land PAGES TARGET --columns JSON
+    spark-submit ... walkshed status PAGES --columns JSON
+    spark-submit ... walkshed sizes LANDED
     spark-submit ... walkshed report TARGET --rail HOURLY --bus HOURLY --stations CSV --stops CSV
 """
 
 from __future__ import annotations
 
 import argparse
+import json
 
 from walkshed import jobs
 from walkshed.schema import BUS, RAIL
 from walkshed.session import build_session
+from walkshed.sources import pages
 
 
-def main() -> None:
+def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="walkshed")
     commands = parser.add_subparsers(dest="command", required=True)
     pre = commands.add_parser("preprocess", help="raw monthly CSV to the hourly Parquet table")
@@ -31,17 +36,32 @@ def main() -> None:
     rep.add_argument("--stops", required=True, help="stop coordinates")
     rep.add_argument("--first-ym", type=int)
     rep.add_argument("--last-ym", type=int)
-    args = parser.parse_args()
+    lan = commands.add_parser("land", help="landed pages to monthly CSV; prints the status of every month")
+    sta = commands.add_parser("status", help="status of every month of landed pages")
+    for command in (lan, sta):
+        command.add_argument("pages")
+        command.add_argument("--columns", required=True, help='JSON: {"service": ["column", ...]}')
+    lan.add_argument("target")
+    siz = commands.add_parser("sizes", help="files and megabytes per landed month")
+    siz.add_argument("landed")
+    args = parser.parse_args(argv)
 
     spark = build_session(f"walkshed {args.command}")
     if args.command == "preprocess":
         spec = {RAIL.name: RAIL, BUS.name: BUS}[args.mode]
         jobs.preprocess(spark, args.source, args.target, spec, args.one_header_per, args.only_given_months)
+        jobs.preprocess_audit(spark, args.source, spec, args.one_header_per).show()
+    elif args.command == "land":
+        pages.land(pages.scan_pages(spark, args.pages), args.target, json.loads(args.columns)).show(1000, False)
+    elif args.command == "status":
+        pages.month_status(pages.scan_pages(spark, args.pages), json.loads(args.columns)).show(1000, False)
+    elif args.command == "sizes":
+        pages.landed_sizes(spark, args.landed).show(1000, False)
     else:
-        study = jobs.load_study(
+        with jobs.load_study(
             spark, args.rail, args.bus, args.stations, args.stops, first_ym=args.first_ym, last_ym=args.last_ym
-        )
-        jobs.write_report(study, args.target)
+        ) as study:
+            jobs.write_report(study, args.target)
 
 
 if __name__ == "__main__":

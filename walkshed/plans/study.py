@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from walkshed.functions.labels import renamed, strip_alias
 from walkshed.operators.radius import radius_pairs
 from walkshed.schema import RADII_M, Settings
-from walkshed.session import stage_table
+from walkshed.session import delete_folder, new_folder, stage_table
 
 
 def has_place(lat: str, lon: str) -> Column:
@@ -93,10 +93,29 @@ class Study:
 
         self._tables: dict[str, DataFrame] = {}
 
+    @cached_property
+    def folder(self) -> str:
+        """Where this study's staged tables are; ``close`` deletes it."""
+        return new_folder(self.station_master.sparkSession, "study")
+
+    def close(self) -> None:
+        """Delete the staged tables. The study can be used again; it then stages them anew."""
+        if "folder" in self.__dict__:
+            delete_folder(self.station_master.sparkSession, self.folder)
+        for name in [n for n, v in vars(type(self)).items() if isinstance(v, cached_property)]:
+            self.__dict__.pop(name, None)
+        self._tables.clear()
+
+    def __enter__(self) -> Study:
+        return self
+
+    def __exit__(self, *_: object) -> None:
+        self.close()
+
     def shared(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
         """A table several queries use: built once, and written if the study is staged."""
         if name not in self._tables:
-            self._tables[name] = stage_table(build(), name) if self.staged else build()
+            self._tables[name] = stage_table(build(), name, self.folder) if self.staged else build()
         return self._tables[name]
 
     def shared_by_radius(
@@ -134,7 +153,7 @@ class Study:
             F.sum("off_cnt").alias("off_cnt"),
             F.count("*").alias("n_rows"),
         )
-        return stage_table(cube, "rail-facts")
+        return stage_table(cube, "rail-facts", self.folder)
 
     @cached_property
     def bus_facts(self) -> DataFrame:
@@ -149,7 +168,7 @@ class Study:
             F.sum("off_cnt").alias("off_cnt"),
             F.count("*").alias("n_rows"),
         )
-        return stage_table(cube, "bus-facts")
+        return stage_table(cube, "bus-facts", self.folder)
 
     @cached_property
     def stop_names(self) -> DataFrame:

@@ -46,9 +46,15 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def stage_table(df: DataFrame, name: str) -> DataFrame:
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder in whatever store it lies; nothing happens if there is none."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def stage_table(df: DataFrame, name: str, folder: str | None = None) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: later plans start from the files."""
     spark = df.sparkSession
-    path = new_folder(spark, name)
+    path = f"{folder}/{name}" if folder else new_folder(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

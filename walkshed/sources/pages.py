@@ -12,13 +12,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from walkshed.schema import LANDED_PAGE, PAGE_BODY, SERVICE_DATASETS
+from walkshed.session import stage_table
 
 MB = 1024 * 1024
 
 
 def scan_pages(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Landed pages stored as JSON lines."""
-    return spark.read.schema(LANDED_PAGE).json(path)
+    """Landed pages stored as JSON lines, with the time their file was written as ``fetched_at``."""
+    pages = spark.read.schema(LANDED_PAGE).json(path)
+    return pages.withColumn("fetched_at", F.col("_metadata.file_modification_time"))
 
 
 def _with_body(pages: DataFrame) -> DataFrame:
@@ -61,39 +63,77 @@ def page_status(pages: DataFrame) -> DataFrame:
     )
 
 
+def latest_pages(pages: DataFrame) -> DataFrame:
+    """Parsed pages, one per service, month and ``page_start``: of several deliveries the latest good one.
+
+    Pages without ``fetched_at`` count as equally old; then the one with more rows is taken.
+    """
+    rows = F.coalesce(F.size("body.row"), F.lit(0))
+    if "fetched_at" not in pages.columns:
+        pages = pages.withColumn("fetched_at", F.lit(None).cast("timestamp"))
+    parsed = _with_body(pages.withColumn("_hash", F.xxhash64("payload")))
+    rank = F.struct(_status(rows).isin("ok", "empty").alias("good"), "fetched_at", rows.alias("n"), "_hash")
+    return (
+        parsed.groupBy("service", "ym", "page_start")
+        .agg(F.max_by(F.struct("body", "top_result"), rank).alias("_page"))
+        .select("service", "ym", "page_start", "_page.*")
+    )
+
+
 def page_rows(pages: DataFrame, columns: Sequence[str], service: str | None = None) -> DataFrame:
     """The records of all good pages as text columns, under a declared column list."""
     if service is not None:
         pages = pages.where(F.col("service") == service)
+    return _rows(latest_pages(pages), columns)
+
+
+def _rows(latest: DataFrame, columns: Sequence[str]) -> DataFrame:
     records = (
-        _with_body(pages)
-        .where(_status(F.coalesce(F.size("body.row"), F.lit(0))) == "ok")
+        latest.where(_status(F.coalesce(F.size("body.row"), F.lit(0))) == "ok")
         .select("service", F.col("ym").alias("page_ym"), F.explode("body.row").alias("r"))
     )
     return records.select("service", "page_ym", *[F.element_at("r", F.lit(c)).alias(c) for c in columns])
 
 
-def month_status(pages: DataFrame) -> DataFrame:
-    """One row per service and month.
+def month_status(pages: DataFrame, columns: Mapping[str, Sequence[str]] | None = None) -> DataFrame:
+    """One row per service and month, from the latest good page of each range.
 
     ``failed``: a page reports an error or has no body, so the month is not landed.
-    ``empty``: no rows, nothing to land. ``incomplete``: fewer rows than announced;
-    landed, but flagged. ``complete`` otherwise.
+    ``changed``: records have keys that are not among the service's ``columns``; not landed, as
+    these values would be lost. ``empty``: no rows, nothing to land. ``incomplete``: fewer
+    rows than announced, ``excess``: more; both are landed, but flagged. ``complete`` otherwise.
     """
+    return _month_status(latest_pages(pages), columns)
+
+
+def _month_status(latest: DataFrame, columns: Mapping[str, Sequence[str]] | None) -> DataFrame:
     bad = F.col("status").isin("error", "no_body")
+    rows = F.coalesce(F.size("body.row"), F.lit(0))
+    n_rows = F.when(rows > 0, rows).otherwise(0).cast("bigint")
+    undeclared = F.lit(0)
+    for service, names in (columns or {}).items():
+        keys = F.flatten(F.transform("body.row", lambda r: F.map_keys(r)))
+        others = F.size(F.array_except(keys, F.array(*map(F.lit, names))))
+        undeclared = F.when(F.col("service") == service, F.greatest(others, F.lit(0))).otherwise(undeclared)
     return (
-        page_status(pages)
+        latest.select(
+            "service", "ym", _status(n_rows).alias("status"), n_rows.alias("n_rows"),
+            F.col("body.list_total_count").alias("list_total_count"), undeclared.alias("undeclared"),
+        )
         .groupBy("service", "ym")
         .agg(
             F.count("*").alias("n_pages"),
             F.count_if(bad).alias("n_failed_pages"),
             F.sum("n_rows").alias("n_rows"),
             F.max("list_total_count").alias("list_total_count"),
+            F.coalesce(F.max("undeclared"), F.lit(0)).cast("bigint").alias("n_undeclared_keys"),
         )
         .withColumn(
             "status",
             F.when(F.col("n_failed_pages") > 0, "failed")
+            .when(F.col("n_undeclared_keys") > 0, "changed")
             .when(F.col("n_rows") == 0, "empty")
+            .when(F.col("n_rows") > F.col("list_total_count"), "excess")
             .when(F.col("n_rows") < F.col("list_total_count"), "incomplete")
             .otherwise("complete"),
         )
@@ -108,17 +148,18 @@ def land(
 ) -> DataFrame:
     """Write the records of every landable month as CSV under ``path/<dataset>/ym=<month>``.
 
-    ``columns`` gives each service's column list. A failed month is left out and does not
-    stop the others; months already landed are replaced only if they are in ``pages``.
-    Returns the month status table.
+    ``columns`` gives each service's column list. A failed or changed month is left out and does
+    not stop the others; months already landed are replaced only if they are in ``pages``.
+    Pages are parsed once and staged. Returns the month status table.
     """
-    status = month_status(pages)
-    landable = status.where(F.col("status").isin("complete", "incomplete")).select("service", "ym")
+    latest = stage_table(latest_pages(pages), "pages")
+    status = stage_table(_month_status(latest, columns), "month-status")
+    landable = status.where(F.col("status").isin("complete", "incomplete", "excess")).select("service", "ym")
     # One row per service and month at most, so the broadcast stays in the kilobytes.
-    good = pages.join(F.broadcast(landable), ["service", "ym"], "left_semi")
+    good = latest.join(F.broadcast(landable), ["service", "ym"], "left_semi")
     for service, names in columns.items():
         (
-            page_rows(good, names, service)
+            _rows(good.where(F.col("service") == service), names)
             .drop("service")
             .withColumnRenamed("page_ym", "ym")
             .hint("rebalance", "ym")
