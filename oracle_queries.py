@@ -244,6 +244,28 @@ TABLES["month_state"] = """
     FROM page GROUP BY service, ym"""
 
 
+# A stop once per radius, however many zones it lies in.
+TABLES["bus_near"] = "SELECT p.radius_m, b.* FROM bus_geo b JOIN (SELECT DISTINCT radius_m, stop_id FROM pairs) p ON b.stop_id = p.stop_id"
+for once in ("month_share", "hour_share", "peak_bus"):
+    TABLES[f"{once}_once"] = TABLES[once].replace("bus_in_zone", "bus_near")
+TABLES["circle"] = """
+    SELECT c.radius_m, b.stop_id, r.station, r.line,
+           2e0*6371e0*asin(sqrt(power(sin(radians(r.sta_lat-b.stop_lat)/2e0),2e0)
+             + cos(radians(b.stop_lat))*cos(radians(r.sta_lat))
+             * power(sin(radians(r.sta_lon-b.stop_lon)/2e0),2e0))) AS dist_km
+    FROM stop_locations b CROSS JOIN station_locations r CROSS JOIN (SELECT 500 AS radius_m UNION ALL SELECT 200) c"""
+
+
+def in_millions(count: str, digits: int) -> str:
+    """A count in millions, rounded half up in whole numbers."""
+    return f"CAST(({count} + {5 * 10 ** (5 - digits)}) // {10 ** (6 - digits)} AS DOUBLE) / {10 ** digits}e0"
+
+
+def both_in_millions() -> str:
+    columns = {"rail_m": "rail_trips", "bus_m": "bus_trips", "total_m": "rail_trips + bus_trips"}
+    return ", ".join(f"{in_millions(f'({count})', 1)} AS {name}" for name, count in columns.items())
+
+
 def with_tables(sql: str) -> str:
     """``sql`` preceded by the sub-queries it uses, each after the ones it needs itself."""
     needed: list[str] = []
@@ -279,7 +301,9 @@ PLAIN: dict[str, str] = {
     "dedup_audit_rail": "SELECT (SELECT COUNT(*) FROM rail_standard) AS n_before, (SELECT COUNT(*) FROM rail_dedup) AS n_after, (SELECT COUNT(*) FROM rail_standard) - (SELECT COUNT(*) FROM rail_dedup) AS n_removed",
     "dedup_audit_bus": "SELECT (SELECT COUNT(*) FROM bus_standard) AS n_before, (SELECT COUNT(*) FROM bus_dedup) AS n_after, (SELECT COUNT(*) FROM bus_standard) - (SELECT COUNT(*) FROM bus_dedup) AS n_removed",
     "unpivot_rail": "SELECT ym, line, station, job_ymd, hr, on_cnt, off_cnt FROM rail_long",
-    "unpivot_bus": "SELECT stop_id, hr, COUNT(*) AS n_rows, CAST(SUM(on_cnt) AS BIGINT) AS on_cnt, CAST(SUM(off_cnt) AS BIGINT) AS off_cnt FROM bus_long GROUP BY 1,2",
+    "unpivot_bus": """SELECT stop_id, hr, COUNT(*) AS n_rows, CAST(SUM(on_cnt) AS BIGINT) AS on_cnt, CAST(SUM(off_cnt) AS BIGINT) AS off_cnt,
+        CAST(SUM(CAST('0x' || substr(md5(concat_ws('|', ym, route_no, route_name, stop_id, stop_ars_no, stop_name, mode_code, mode_name, reg_ymd, hr, on_cnt, off_cnt, year, month)), 1, 12) AS BIGINT)) AS BIGINT) AS row_digest
+        FROM bus_long GROUP BY 1,2""",
     "derive_period": "SELECT ym, CAST(CAST(ym AS INT) // 100 AS INT) AS year, CAST(CAST(ym AS INT) % 100 AS INT) AS month, COUNT(*) AS n_rows FROM rail_hourly GROUP BY 1,2,3",
     "hourly_roundtrip": "SELECT year, month, ym, line, station, job_ymd, hr, on_cnt, off_cnt FROM rail_long",
     "hourly_roundtrip_bus": "SELECT year, month, hr, COUNT(*) AS n_rows, COUNT(DISTINCT stop_id) AS n_stops, CAST(SUM(on_cnt) AS BIGINT) AS on_cnt, CAST(SUM(off_cnt) AS BIGINT) AS off_cnt FROM bus_long GROUP BY 1,2,3",
@@ -321,7 +345,11 @@ PLAIN: dict[str, str] = {
     "bus_total": "SELECT * FROM bus_total",
     "direction_rail": "SELECT station, line, board, total, round(board_ratio, 6) AS board_ratio, direction FROM direction_rail",
     "peak_rail": "SELECT * FROM peak_rail",
-    "top_stations": "SELECT station, line, rail_total AS total_trips FROM rail_total ORDER BY rail_total DESC, station, line LIMIT 20",
+    "pairs_exact_circle": f"SELECT radius_m, station, line, stop_id, {DIST} FROM circle WHERE dist_km <= CAST(radius_m AS DOUBLE)/1000e0",
+    "share_month_distinct_stops": f"SELECT *, {both_in_millions()} FROM month_share_once",
+    "share_hour_distinct_stops": f"SELECT *, {both_in_millions()} FROM hour_share_once",
+    "peak_bus_distinct_stops": "SELECT * FROM peak_bus_once",
+    "top_stations": f"SELECT station, line, rail_total AS total_trips, {in_millions('rail_total', 1)} AS total_m FROM rail_total ORDER BY rail_total DESC, station, line LIMIT 20",
     "radius_comparison": "SELECT radius_m, COUNT(*) AS n_zones, round(AVG(share), 6) AS avg_share, round(quantile_disc(share, 0.5), 6) AS median, round(stddev_samp(share), 6) AS std_dev FROM zone GROUP BY 1",
     "stage_counts": """
         SELECT 'rail_hourly' AS stage, COUNT(*) AS n_rows FROM rail_hourly
@@ -354,7 +382,7 @@ PER_RADIUS: dict[str, str] = {
     "zone_stats_{r}": "SELECT station, line, rail_total, bus_total, n_stops, total_in_zone, round(share, 6) AS rail_share_pct FROM zone WHERE radius_m = {r}",
     "zone_typed_{r}": "SELECT station, line, rail_total, bus_total, n_stops, total_in_zone, round(share, 6) AS rail_share_pct, line_type FROM zone WHERE radius_m = {r}",
     "share_distribution_{r}": f"SELECT {DISTRIBUTION} FROM zone WHERE radius_m = {{r}}",
-    "share_by_type_{r}": f"SELECT line_type, COUNT(*) AS n_zones, round(AVG(share), 6) AS avg_share, CAST(SUM(rail_total) AS BIGINT) AS rail_sum, CAST(SUM(bus_total) AS BIGINT) AS bus_sum, {OVERALL} AS overall_share FROM zone WHERE radius_m = {{r}} GROUP BY 1",
+    "share_by_type_{r}": f"SELECT line_type, COUNT(*) AS n_zones, round(AVG(share), 6) AS avg_share, CAST(SUM(rail_total) AS BIGINT) AS rail_sum, CAST(SUM(bus_total) AS BIGINT) AS bus_sum, {in_millions('CAST(SUM(rail_total) AS BIGINT)', 1)} AS rail_m, {in_millions('CAST(SUM(bus_total) AS BIGINT)', 1)} AS bus_m, {OVERALL} AS overall_share FROM zone WHERE radius_m = {{r}} GROUP BY 1",
     "rail_hour_type_{r}": "SELECT line_type, hr, rail_trips FROM rail_hour_type WHERE radius_m = {r}",
     "bus_hour_type_{r}": "SELECT line_type, hr, bus_trips FROM bus_hour_type WHERE radius_m = {r}",
     "share_hour_type_{r}": "SELECT line_type, hr, rail_trips, bus_trips, share FROM hour_type WHERE radius_m = {r}",
@@ -362,10 +390,10 @@ PER_RADIUS: dict[str, str] = {
     "direction_bus_{r}": "SELECT station, line, board, total, round(board_ratio, 6) AS board_ratio, direction FROM direction_bus WHERE radius_m = {r}",
     "direction_join_{r}": "SELECT station, line, rail_direction, bus_direction, direction_match FROM direction_join WHERE radius_m = {r}",
     "direction_share_{r}": "SELECT d.direction_match, COUNT(*) AS n_zones, round(AVG(z.share), 6) AS avg_share, round(quantile_disc(z.share, 0.5), 6) AS median FROM direction_join d JOIN zone z ON d.radius_m = z.radius_m AND d.station = z.station AND d.line = z.line WHERE d.radius_m = {r} GROUP BY 1",
-    "share_month_{r}": "SELECT ym, rail_trips, bus_trips, share FROM month_share WHERE radius_m = {r}",
-    "share_hour_{r}": "SELECT hr, rail_trips, bus_trips, share FROM hour_share WHERE radius_m = {r}",
+    "share_month_{r}": f"SELECT ym, rail_trips, bus_trips, {both_in_millions()}, share FROM month_share WHERE radius_m = {{r}}",
+    "share_hour_{r}": f"SELECT hr, rail_trips, bus_trips, {both_in_millions()}, share FROM hour_share WHERE radius_m = {{r}}",
     "peak_bus_{r}": "SELECT peak_trips, all_trips, peak_pct FROM peak_bus WHERE radius_m = {r}",
-    "top_stops_{r}": "SELECT r.stop_id, r.stop_name, r.n_zones, b.bus_total AS stop_trips, r.total_trips FROM stop_ranking r JOIN bus_total b ON r.stop_id = b.stop_id WHERE r.radius_m = {r} ORDER BY r.total_trips DESC, r.stop_id LIMIT 20",
+    "top_stops_{r}": f"SELECT r.stop_id, r.stop_name, r.n_zones, b.bus_total AS stop_trips, r.total_trips, {in_millions('r.total_trips', 2)} AS total_m FROM stop_ranking r JOIN bus_total b ON r.stop_id = b.stop_id WHERE r.radius_m = {{r}} ORDER BY r.total_trips DESC, r.stop_id LIMIT 20",
 }
 
 

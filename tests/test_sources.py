@@ -239,3 +239,44 @@ def test_new_pages_land_their_months_whole(spark, tmp_path):
 
     assert deliver(PAGES[0], PAGES[2]) == [(202501, 2), (202502, 2)]
     assert deliver(PAGES[1]) == [(202501, 3), (202502, 2)]
+
+
+def jobs_run(spark, group):
+    return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+
+def test_headers_of_many_files_come_from_few_jobs(spark, tmp_path):
+    names = ["USE_YM,RTE_NO,STOPS_ID", "STOPS_ID,USE_YM,RTE_NO"]
+    for i in range(50):
+        folder = tmp_path / ("mixed one+1" if i < 20 else f"even {i % 3}")
+        folder.mkdir(exist_ok=True)
+        cells = {"USE_YM": f"2025{i:02}", "RTE_NO": "r", "STOPS_ID": f"s{i}"}
+        header = names[i % 2 if i < 20 else i % 3 == 0]
+        (folder / f"f{i}.csv").write_text(header + "\n" + ",".join(cells[c] for c in header.split(",")) + "\n")
+    (tmp_path / "even 1" / "empty.csv").write_text("")
+    spark.sparkContext.setJobGroup("headers", "headers of 50 files")
+    try:
+        found = scan_wide(spark, str(tmp_path))
+        assert jobs_run(spark, "headers") <= 12
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert rows(found, "USE_YM", "RTE_NO", "STOPS_ID") == sorted((f"2025{i:02}", "r", f"s{i}") for i in range(50))
+    # Folders whose files agree are scanned as folders: two of even names, and the mixed one's files.
+    assert spark.conf.get("spark.sql.files.openCostInBytes") != str(1 << 40)
+
+
+def test_one_header_in_all_folders_is_one_scan(spark, tmp_path):
+    for ym in ("202501", "202502"):
+        (tmp_path / f"ym={ym}").mkdir()
+        (tmp_path / f"ym={ym}" / "a.csv").write_text(f"USE_YM,RTE_NO\n{ym},100\n")
+    found = scan_wide(spark, str(tmp_path))
+    assert found.columns == ["USE_YM", "RTE_NO"] and rows(found) == [("202501", "100"), ("202502", "100")]
+    assert plan_text(found).count("FileScan csv") == 1
+
+
+def test_preprocess_says_what_it_did_and_sorts_before_hours_are_spread(spark, tmp_path):
+    raw = tmp_path / "raw"
+    wide(spark, "202412", "202412", "202501").coalesce(1).write.option("header", "true").csv(str(raw))
+    done = jobs.preprocess(spark, str(raw), str(tmp_path / "out"), RAIL)
+    assert done == {"n_before": 9, "n_after": 6, "n_removed": 3, "n_written": 6}
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "0"

@@ -49,8 +49,7 @@ def main(argv: list[str] | None = None) -> None:
     spark = build_session(f"walkshed {args.command}")
     if args.command == "preprocess":
         spec = {RAIL.name: RAIL, BUS.name: BUS}[args.mode]
-        jobs.preprocess(spark, args.source, args.target, spec, args.one_header_per, args.only_given_months)
-        jobs.preprocess_audit(spark, args.source, spec, args.one_header_per).show()
+        print(jobs.preprocess(spark, args.source, args.target, spec, args.one_header_per, args.only_given_months))
     elif args.command == "land":
         pages.land(pages.scan_pages(spark, args.pages), args.target, json.loads(args.columns)).show(1000, False)
     elif args.command == "status":

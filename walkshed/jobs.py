@@ -5,7 +5,8 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from walkshed.operators.reshape import dedup_audit, packed_records, standardize
 from walkshed.plans import analysis, audit, charts, zones
@@ -23,10 +24,22 @@ def preprocess(
     one_header_per: str = "file",
     only_given_months: bool = False,
     official_names: bool = True,
-) -> None:
-    """Raw monthly CSV of one mode to its hourly Parquet table."""
-    raw = scan_wide(spark, source, one_header_per)
-    write_hourly(packed_records(raw, spec), target, spec, only_given_months, official_names)
+) -> dict[str, int]:
+    """Raw monthly CSV of one mode to its hourly Parquet table.
+
+    Returns the rows read, kept, removed as copies and written, counted while they pass. A stage that
+    runs again after a lost executor can count rows twice; ``preprocess_audit`` counts anew.
+    """
+    read, kept = Observation("read"), Observation("kept")
+    raw = scan_wide(spark, source, one_header_per).observe(read, F.count(F.lit(1)).alias("n"))
+    once = packed_records(raw, spec).observe(
+        kept, F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.size("hr")), F.lit(0)).alias("n_written")
+    )
+    write_hourly(once, target, spec, only_given_months, official_names)
+    n_before, n_after = read.get["n"], kept.get["n"]
+    return {
+        "n_before": n_before, "n_after": n_after, "n_removed": n_before - n_after, "n_written": kept.get["n_written"]
+    }
 
 
 def preprocess_audit(

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from walkshed.functions.geo import great_circle_km, inside_box
-from walkshed.schema import KM_PER_DEGREE_LAT, KM_PER_DEGREE_LON
+from walkshed.schema import EARTH_RADIUS_KM, KM_PER_DEGREE_LAT, KM_PER_DEGREE_LON
 
 # A cell is a little wider than the box reaches, so rounding cannot push a match two cells away.
 CELL_MARGIN = 1.0001
@@ -54,6 +55,7 @@ def radius_pairs(
     km_per_degree_lat: float = KM_PER_DEGREE_LAT,
     km_per_degree_lon: float = KM_PER_DEGREE_LON,
     box_only: bool = False,
+    exact_circle: bool = False,
     pairs_per_task: int = PAIRS_PER_TASK,
 ) -> DataFrame:
     """Every (stop, station) within each radius, with ``radius_m`` and ``dist_km``.
@@ -62,7 +64,13 @@ def radius_pairs(
     columns pass through. A pair has to lie in the degree box of the radius and, unless
     ``box_only``, within the great-circle distance. One join at the largest radius serves
     all radii, as a smaller box and circle lie within a larger one.
+
+    With ``exact_circle`` the distance alone decides. A station then takes part in all cells that its
+    circle reaches at its latitude; circles over a pole or the 180th meridian are not joined up.
     """
+    if box_only and exact_circle:
+        raise ValueError("box_only and exact_circle exclude each other")
+
     def tolerances(radius_m: int) -> tuple[float, float]:
         km = radius_m / 1000.0
         return km / km_per_degree_lat, km / km_per_degree_lon
@@ -72,7 +80,8 @@ def radius_pairs(
         test = inside_box(
             F.col("stop_lat"), F.col("stop_lon"), F.col("sta_lat"), F.col("sta_lon"), lat_tol, lon_tol
         )
-        return test if box_only else test & (distance <= radius_m / 1000.0)
+        near = distance <= radius_m / 1000.0
+        return near if exact_circle else test if box_only else test & near
 
     distance = great_circle_km(F.col("stop_lat"), F.col("stop_lon"), F.col("sta_lat"), F.col("sta_lon"))
     widest = max(radii_m)
@@ -87,13 +96,14 @@ def radius_pairs(
     cx, cy = cells("stop_lat", "stop_lon")
     stops = stops.withColumn("_cx", cx).withColumn("_cy", cy)
     cx, cy = cells("sta_lat", "sta_lon")
-    around = [-1, 0, 1]
-    stations = (
-        stations.withColumn("_dx", F.explode(F.array(*map(F.lit, around))))
-        .withColumn("_dy", F.explode(F.array(*map(F.lit, around))))
-        .withColumn("_cx", cx + F.col("_dx"))
-        .withColumn("_cy", cy + F.col("_dy"))
-        .drop("_dx", "_dy")
+    reach_x = reach_y = F.lit(1).cast("bigint")
+    if exact_circle:
+        angle = widest / 1000.0 / EARTH_RADIUS_KM
+        widest_lon = F.degrees(F.asin(F.least(F.lit(1.0), math.sin(angle) / F.cos(F.radians("sta_lat")))))
+        reach_x = F.ceil(F.lit(math.degrees(angle) / lat_tol))
+        reach_y = F.ceil(widest_lon / lon_tol)
+    stations = stations.withColumn("_cx", F.explode(F.sequence(cx - reach_x, cx + reach_x))).withColumn(
+        "_cy", F.explode(F.sequence(cy - reach_y, cy + reach_y))
     )
     # Byte sizes do not show this skew to adaptive execution, as a small cell can mean
     # billions of comparisons; so the points per cell are counted first.

@@ -222,8 +222,13 @@ def direction_share(study: Study, radii_m: Sequence[int], digits: int | None = 2
 # --- how each mode is used -----------------------------------------------------------
 
 
+def _times(study: Study) -> Column:
+    """How often the use of a stop counts."""
+    return F.lit(1) if study.settings.distinct_stops else F.col("n_zones")
+
+
 def _share_by(study: Study, radii_m: Sequence[int], dim: str, digits: int | None) -> DataFrame:
-    """Both modes by ``dim``: all located rail use, bus use once per zone a stop lies in."""
+    """Both modes by ``dim``: all located rail use, bus use once per zone a stop lies in, or once."""
 
     def build(radii: Sequence[int]) -> DataFrame:
         rail = (
@@ -235,7 +240,7 @@ def _share_by(study: Study, radii_m: Sequence[int], dim: str, digits: int | None
             study.bus_by_stop(dim, bus_trips=F.sum(trips()))
             .join(stop_memberships(study, radii), "stop_id")
             .groupBy("radius_m", dim)
-            .agg(F.sum(F.col("bus_trips") * F.col("n_zones")).alias("bus_trips"))
+            .agg(F.sum(F.col("bus_trips") * _times(study)).alias("bus_trips"))
         )
         return rail.join(bus, dim).select("radius_m", dim, "rail_trips", "bus_trips")
 
@@ -277,8 +282,8 @@ def peak_rail(study: Study, digits: int | None = 2) -> DataFrame:
 
 def peak_bus(study: Study, radii_m: Sequence[int], digits: int | None = 2) -> DataFrame:
     """Part of bus use in reach of stations that falls in the peak hours."""
-    peak = F.sum(F.col("peak_trips") * F.col("n_zones"))
-    whole = F.sum(F.col("all_trips") * F.col("n_zones"))
+    peak = F.sum(F.col("peak_trips") * _times(study))
+    whole = F.sum(F.col("all_trips") * _times(study))
     return (
         study.bus_by_stop(**_peak_sums(study))
         .join(stop_memberships(study, radii_m), "stop_id")

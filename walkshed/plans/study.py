@@ -233,6 +233,7 @@ class Study:
             self.settings.km_per_degree_lat,
             self.settings.km_per_degree_lon,
             box_only,
+            self.settings.exact_circle and not box_only,
         )
 
     def reach(self, radii_m: Sequence[int], box_only: bool = False) -> DataFrame:

@@ -160,6 +160,10 @@ class Settings:
     outflow_above: float = OUTFLOW_ABOVE
     km_per_degree_lat: float = KM_PER_DEGREE_LAT
     km_per_degree_lon: float = KM_PER_DEGREE_LON
+    #: Pairs by distance alone, without the degree box that clips the circle.
+    exact_circle: bool = False
+    #: In sums by month, by hour and of peaks a stop counts once, not once for every zone it lies in.
+    distinct_stops: bool = False
 
     @property
     def all_line_types(self) -> list[str]:

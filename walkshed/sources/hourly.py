@@ -9,6 +9,9 @@ from pyspark.sql import types as T
 from walkshed.operators.reshape import explode_hours
 from walkshed.schema import ModeSpec
 
+OPEN_FILES = "spark.sql.maxConcurrentOutputFileWriters"
+MONTHS_AT_ONCE = 16
+
 
 def table_schema(spec: ModeSpec) -> T.StructType:
     """Columns of the hourly table: the raw text columns, hour and counts, year and month."""
@@ -23,26 +26,34 @@ def write_hourly(
     """Write packed records as the hourly table, partitioned by year and month.
 
     The rebalance hint lets Spark split a big month over many tasks and pack small ones
-    together, by measured size; it comes before the hours are spread out, so 24 times fewer
-    rows are shuffled. Rows are sorted by place inside a file, so the place column's
+    together, by measured size; it and the sort by place come before the hours are spread out, so 24
+    times fewer rows are shuffled and sorted. As a task can hold several small months, it keeps a
+    file open for each; beyond ``MONTHS_AT_ONCE`` Spark sorts the rest. The place column's
     statistics prune row groups. ``only_given_months`` replaces just the months present in
     ``packed``; otherwise the whole table is replaced.
     """
-    out = explode_hours(packed.hint("rebalance", "year", "month"))
+    spark = packed.sparkSession
+    sorted_records = packed.hint("rebalance", "year", "month").sortWithinPartitions("year", "month", spec.place)
+    out = explode_hours(sorted_records)
     out = out.select(
         *[F.col(f.name).cast(f.dataType) if f.name in out.columns else F.lit(None).cast(f.dataType).alias(f.name)
           for f in table_schema(spec)]
-    ).sortWithinPartitions("year", "month", spec.place)
+    )
     partition = ["year", "month"]
     if official_names:
         out = to_official_names(out, spec)
         partition = [spec.official_names[c] for c in partition]
-    (
-        out.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic" if only_given_months else "static")
-        .partitionBy(*partition)
-        .parquet(path)
-    )
+    before = spark.conf.get(OPEN_FILES, "0")
+    spark.conf.set(OPEN_FILES, str(MONTHS_AT_ONCE))
+    try:
+        (
+            out.write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic" if only_given_months else "static")
+            .partitionBy(*partition)
+            .parquet(path)
+        )
+    finally:
+        spark.conf.set(OPEN_FILES, before)
 
 
 def read_hourly(

@@ -2,33 +2,74 @@
 
 from __future__ import annotations
 
-from collections import defaultdict
-from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
+import re
+from collections import Counter, defaultdict
+from collections.abc import Iterator, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, DataFrameReader, SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, DataFrameReader, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from walkshed.schema import STATION_MASTER, STOP_MASTER
 
+_FOLDER = r"^(.*)/[^/]*$"
+READ_ON_BYTES = 32 * 1024 * 1024
+
 
 def _reader(spark: SparkSession) -> DataFrameReader:
     return spark.read.option("header", "true").option("encoding", "UTF-8")
 
 
-def _units(spark: SparkSession, path: str | list[str], one_header_per: str) -> list[str]:
-    """Files, or folders of files, that share one header line. Lists names, reads no content."""
-    listing = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .load(path)
-        .select("path")
+def _first_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The first row of a task's input.
+
+    A small file is read to its end, as Spark then keeps the Python worker for the next task; a
+    large one is left, which costs a worker but spares reading it twice.
+    """
+    seen = 0
+    for batch in batches:
+        if not seen and batch.num_rows:
+            yield batch.slice(0, 1)
+        seen += batch.nbytes
+        if seen > READ_ON_BYTES:
+            return
+
+
+def _header_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """``folder, file, header`` of every file that is not empty. To be run by ``_one_file_a_task``."""
+    lines = (
+        spark.read.option("recursiveFileLookup", "true")
+        .text(path)
+        .select(F.col("value").alias("header"), F.col("_metadata.file_path").alias("file"))
+    )
+    # The path comes as a URL; a plus sign in it means itself.
+    file = F.url_decode(F.replace("file", F.lit("+"), F.lit("%2B")))
+    return lines.mapInArrow(_first_rows, lines.schema).select(
+        F.regexp_extract(file, _FOLDER, 1).alias("folder"), file.alias("file"), "header"
     )
-    if one_header_per == "folder":
-        listing = listing.select(F.regexp_extract("path", r"^(.*)/[^/]*$", 1).alias("path")).distinct()
-    return sorted(row.path for row in listing.collect())
+
+
+def _one_file_a_task(df: DataFrame) -> list[Row]:
+    """Collect ``df`` with every file in a task of its own, so that a task sees one header."""
+    conf = df.sparkSession.conf
+    sizes = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    before = {key: conf.get(key) for key in sizes}
+    try:
+        for key in sizes:
+            conf.set(key, str(1 << 40))
+        return df.collect()
+    finally:
+        for key, value in before.items():
+            conf.set(key, value)
+
+
+def _one_of_each_folder(spark: SparkSession, path: str | list[str]) -> list[str]:
+    """One file of each folder. Lists names, reads no content."""
+    listing = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    per_folder = listing.groupBy(F.regexp_extract("path", _FOLDER, 1)).agg(F.min("path").alias("path"))
+    return [row.path for row in per_folder.collect()]
 
 
 def scan_wide(
@@ -41,26 +82,48 @@ def scan_wide(
     scans are united by name; a column some files lack is NULL there. Headers are
     checked again while reading, so a differing file fails rather than being misread.
 
+    One distributed job reads the first line of every file, and the driver gets the distinct
+    headers of each folder. Where all agree, the scan is of ``path`` itself; else of folders, and
+    of single files only in folders whose files differ and for patterns with wildcards.
+
     ``one_header_per="folder"`` reads one header per folder, for folders written by one
-    job; it keeps the number of header reads at the number of months.
+    job; it keeps the number of tasks of that job at the number of months.
     """
     if one_header_per not in ("file", "folder"):
         raise ValueError("one_header_per is 'file' or 'folder'")
-    units = _units(spark, path, one_header_per)
-    if not units:
+    by_folder = one_header_per == "folder"
+    sample = _one_of_each_folder(spark, path) if by_folder else path
+    lines = _header_lines(spark, sample) if sample else None
+    found = lines and _one_file_a_task(lines.groupBy("folder", "header").agg(F.min("file").alias("file")))
+    if not found:
         raise FileNotFoundError(f"no raw files under {path}")
-    with ThreadPoolExecutor(max_workers=16) as pool:
-        headers = list(pool.map(lambda unit: tuple(_reader(spark).csv(unit).columns), units))
-
-    by_header: dict[tuple[str, ...], list[str]] = defaultdict(list)
-    for unit, header in zip(units, headers):
-        by_header[header].append(unit)
+    example = {row.header: row.file for row in found}
+    columns = {header: tuple(_reader(spark).csv(file).columns) for header, file in example.items()}
+    by_columns: dict[tuple[str, ...], list[str]] = defaultdict(list)
+
+    if len(set(columns.values())) == 1:
+        scanned = [path] if isinstance(path, str) else list(path)
+        by_columns[next(iter(columns.values()))] = scanned
+    else:
+        folders = Counter(row.folder for row in found)
+        wildcards = not by_folder and re.search(r"[*?\[{]", path if isinstance(path, str) else " ".join(path))
+        single = [
+            folder for folder, n_headers in folders.items()
+            if wildcards or n_headers > 1 or any(other.startswith(f"{folder}/") for other in folders)
+        ]
+        for row in found:
+            if row.folder not in single:
+                by_columns[columns[row.header]].append(row.folder)
+        if single:
+            for row in _one_file_a_task(lines.where(F.col("folder").isin(single))):
+                by_columns[columns[row.header]].append(row.file)
     scans = [
         _reader(spark)
         .schema(T.StructType([T.StructField(c, T.StringType()) for c in header]))
         .option("enforceSchema", "false")
-        .csv(files)
-        for header, files in sorted(by_header.items())
+        .option("recursiveFileLookup", "true")
+        .csv(sorted(set(paths)))
+        for header, paths in sorted(by_columns.items())
     ]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), scans)
 

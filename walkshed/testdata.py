@@ -171,13 +171,13 @@ def stop_master(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def study(spark: SparkSession, sf_dir: str, staged: bool = False) -> Study:
+def study(spark: SparkSession, sf_dir: str, staged: bool = False, settings: Settings = SETTINGS) -> Study:
     return Study(
         rail_hourly(spark, sf_dir),
         bus_hourly(spark, sf_dir),
         station_master(spark, sf_dir),
         stop_master(spark, sf_dir),
-        SETTINGS,
+        settings,
         staged,
         RADII,
     )
