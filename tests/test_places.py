@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from conftest import plan_text, rows
 from walkshed.functions.labels import category, direction, renamed, strip_alias
 from walkshed.operators.lookup import lookup_join, measured_bytes
+from walkshed.functions.geo import great_circle_km
 from walkshed.operators.radius import busy_cells, radius_pairs
 from walkshed import testdata
 from walkshed.plans.study import unique_stations, unique_stops
@@ -185,3 +186,21 @@ def test_views_of_one_study_share_their_plans(spark):
 def test_top_stops_sort_no_facts(spark, tmp_path):
     study = testdata.study(spark, "/root/testdata/sf0.001")
     assert "SortAggregate" not in plan_text(study.bus_by_stop(n=F.sum("on_cnt")))
+
+
+@pytest.mark.parametrize("lat", [0.0, 37.55, -60.0, 75.0])
+def test_exact_circle_holds_every_pair_within_the_distance_at_any_latitude(spark, lat):
+    stops = spark.range(1600).select(
+        (F.lit(lat) + (F.col("id") % 40 - 20) * 0.0004).alias("stop_lat"),
+        (F.lit(127.0) + (F.floor(F.col("id") / 40) - 20) * 0.0011).alias("stop_lon"),
+    )
+    stations = spark.createDataFrame([(lat, 127.0), (lat + 0.003, 126.9961)], "sta_lat double, sta_lon double")
+    km = great_circle_km(F.col("stop_lat"), F.col("stop_lon"), F.col("sta_lat"), F.col("sta_lon"))
+    every = stops.crossJoin(F.broadcast(stations)).withColumn("km", km)
+    found = radius_pairs(stops, stations, [500, 200], exact_circle=True)
+    split = radius_pairs(stops, stations, [500, 200], exact_circle=True, pairs_per_task=50)
+    for r in (500, 200):
+        expected = rows(every.where(F.col("km") <= r / 1000), "stop_lat", "stop_lon", "sta_lat")
+        assert expected
+        for pairs in (found, split):
+            assert rows(pairs.where(F.col("radius_m") == r), "stop_lat", "stop_lon", "sta_lat") == expected
