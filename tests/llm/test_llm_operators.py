@@ -459,3 +459,57 @@ def test_pipeline_as_its_parts(spark):
     assert counted == taken and fourth.columns == docs.columns
     last = pipeline.run(spark, SF)
     assert last.columns == [*docs.columns, "shard"] and last.count() == sum(taken.values())
+
+
+class TestNearCopies:
+    def sets(self, text):
+        words = text.lower().split()
+        return frozenset(tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4)))
+
+    def brute(self, texts):
+        """The least id of each component of texts with a similarity of 0.8 or more."""
+        ids, least = sorted(texts), {i: i for i in texts}
+        sets = {i: self.sets(t) for i, t in texts.items()}
+        for n, i in enumerate(ids):
+            for j in ids[n + 1 :]:
+                a, b = sets[i], sets[j]
+                if 5 * min(len(a), len(b)) >= 4 * max(len(a), len(b)) and 5 * len(a & b) >= 4 * len(a | b):
+                    low, high = sorted((least[i], least[j]))
+                    least = {k: low if v == high else v for k, v in least.items()}
+        return sorted(set(least.values()))
+
+    def test_pipeline_stage_as_brute_force(self, spark):
+        import corpus_pipeline as pipeline
+
+        draw = random.Random(3)
+        texts, at = {}, 0
+        for length in (6, 25, 60, 60, 200, 200, 900):
+            base = [f"w{draw.randrange(5000)}" for _ in range(length)]
+            for edits in (0, 1, 1, length // 50, length // 50, length // 40, length // 25, length // 5):
+                words = list(base)
+                for _ in range(edits):
+                    words[draw.randrange(length)] = f"x{draw.randrange(10**6)}"
+                texts[at], at = " ".join(words), at + 1
+        docs = table(spark, [(i, t, "en", "a") for i, t in texts.items()]).repartition(3)
+        wanted = self.brute(texts)
+        far = simhash.first_of_each(docs).count()
+        kept = pipeline.near_duplicates(spark, docs, SF)
+        assert sorted(r.doc_id for r in kept.collect()) == wanted and kept.columns == docs.columns
+        assert len(wanted) < far  # two bits of op1 leave near copies
+
+    def test_test_documents_as_brute_force(self, spark, documents):
+        import corpus_pipeline as pipeline
+
+        texts = {r.doc_id: r.text for r in documents.where("text rlike '[^ ]'").collect()}
+        kept = pipeline.near_duplicates(spark, documents.where("text rlike '[^ ]'"), SF)
+        assert sorted(r.doc_id for r in kept.collect()) == self.brute(texts)
+
+    def test_rows_by_id_and_text(self, odd, empty, spark):
+        from walkshed.llm import near_copies
+
+        assert sorted(r.doc_id or 0 for r in near_copies.first_of_each(odd).collect()) == [0, 1, 2, 5, 8, 9]
+        assert near_copies.first_of_each(empty).count() == 0
+        rows = [(1, "one two three four five six seven", "en", "a"), (1, "alpha beta gamma delta epsilon zeta", "en", "a"),
+                (None, "no id at all but the same text", "en", "a"), (None, "no id at all but the same text", "en", "a")]
+        kept = near_copies.first_of_each(table(spark, rows))
+        assert sorted(r.text[:3] for r in kept.collect()) == ["alp", "no ", "one"]
