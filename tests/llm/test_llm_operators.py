@@ -135,6 +135,21 @@ class TestHtml:
         assert html_extract.main_text(self.PAGE) == wanted
         assert html_extract.main_text(self.PAGE.replace("article>", "div>")) == wanted
 
+    @pytest.mark.parametrize("left_out", [
+        "<p class='ad'>Buy", "<ul><li class='share'>Buy<li class='share'>Buy</ul>", "<dl><dt class='ad'>Buy<dd class='ad'>Buy</dl>",
+        "<div><p class='ad'>Buy</div>", "<table><tr class='ad'><td>Buy</table>", "<table><tr><td class='ad'>Buy<td class='ad'>Buy</table>",
+        "<div><span class='ad'>Buy</div>", "<div class='ad'><p>Buy<p>more<div>x</div></div>",
+    ])
+    def test_left_out_elements_without_end_tags(self, left_out):
+        page = f"<body><article><p>One line</p>{left_out}<p>Two line</p><p>Three</p></article><p>after</p></body>"
+        assert html_extract.main_text(page) == "One line\nTwo line\nThree"
+
+    @pytest.mark.parametrize("wrapper", ["layout sidebar-right", "page nav-top", "widget", "comments", "has-sidebar"])
+    def test_wrappers_around_the_article_stay(self, wrapper):
+        page = f"<body><nav>Menu</nav><div class='{wrapper}'><article><p>One</p><p>Two</p></article></div><footer>x</footer></body>"
+        assert html_extract.main_text(page) == "One\nTwo"
+        assert wrapper in ("widget", "comments") or html_extract.main_text(page.replace("article>", "div>")) == "One\nTwo"
+
     def test_windows_surge_and_dive(self):
         lengths = np.array([0, 0, 5, 0, 7, 0, 0, 0, 0, 9, 0])
         assert html_extract.surges(lengths) == [(2, 5), (9, 10)]

@@ -43,16 +43,39 @@ INLINE = frozenset({
     "strong", "sub", "sup", "time", "tt", "u", "var", "wbr",
 })
 CONTENT = frozenset({"article", "main"})
+TABLE = frozenset({"table", "caption", "colgroup", "thead", "tbody", "tfoot", "tr", "td", "th"})
+#: Elements without a needed end tag: (start tags that end them, open elements that a search for them passes).
+_CELL, _ROW, _ROWS = frozenset({"td", "th"}), frozenset({"tr"}), frozenset({"thead", "tbody", "tfoot", "caption", "colgroup"})
+_LOOSE = frozenset({"p", "div", "address"})
+IMPLIED = [
+    (frozenset({"li"}), frozenset({"li"}), _LOOSE),
+    (frozenset({"dd", "dt"}), frozenset({"dd", "dt"}), _LOOSE),
+    (frozenset({"option"}), frozenset({"option", "optgroup"}), frozenset()),
+    (_CELL, _CELL | _ROW | _ROWS, None),
+    (_ROW, _ROW | _ROWS, None),
+    (_ROWS, _ROWS, None),
+]
+#: Block elements, whose start ends a paragraph.
+ENDS_P = frozenset({
+    "address", "article", "aside", "blockquote", "center", "dd", "details", "dialog", "dir", "div", "dl", "dt", "fieldset",
+    "figcaption", "figure", "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6", "header", "hgroup", "hr", "li", "main",
+    "menu", "nav", "ol", "p", "pre", "search", "section", "summary", "table", "ul",
+})
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*)>", re.S)
+_ANY_CONTENT = re.compile(r"<(?:article|main)[\s/>]", re.I)
 _NAMED = re.compile(r"\b(id|class|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _HIDDEN = re.compile(r"(?:^|\s)hidden(?=[\s=/]|$)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
-#: Words of an id, class or role that say an element is not part of the article.
+#: Whole words of an id, class or role that say an element is not part of the article. Of hyphenated ones
+#: such as sidebar-right, which say how a wrapper is laid out, no part is taken alone.
 _BOILERPLATE = re.compile(
-    r"(?:^|(?<!has-)(?<!with-)(?<!no-)(?<=[^a-z]))(?:ads?|advert\w*|banners?|sponsor(?:ed|s)?|promos?|nav(?:bar|igation)?|menus?|breadcrumbs?|side-?bars?"
-    r"|aside|widgets?|footers?|(?:site|page|main|top|global)-?header|masthead|cookies?|consent|notices?|notifications?"
+    r"(?:(?:site|page|main|top|global|left|right|bottom|primary|secondary|reader|user|cookie|ads?|social|nav|post|article)[-_]?)*"
+    r"(?:ads?|advert\w*|banners?|sponsor(?:ed|s)?|promos?|nav(?:bar|igation)?|menus?|breadcrumbs?|side-?bars?"
+    r"|aside|widgets?|footers?|(?:site|page|main|top|global)[-_]?header|masthead|cookies?|consent|notices?|notifications?"
     r"|popups?|modal|overlay|newsletter|subscribe|subscription|signup|login|share|sharing|social|related|recommend\w*"
-    r"|(?:reader|user)?-?comments?[-_]?(?:lists?|sections?|threads?|area|form|box)?|disqus|replies|respond|pagination|pager|search|toolbar|complementary|contentinfo|skip-?link)(?:$|[^a-z])",
+    r"|comments?|disqus|replies|respond|pagination|pager|search|toolbar|complementary|contentinfo|skip-?link)"
+    r"(?:[-_]?(?:lists?|sections?|threads?|area|form|box|blocks?|bar|slots?|units?|links?|buttons?|items?|posts?|container|wrapper"
+    r"|banner|notice|menu))?",
     re.I,
 )
 
@@ -67,6 +90,10 @@ class _Line:
         self.parts, self.links, self.inside = [], 0, inside
 
 
+def _names(attributes: str) -> list[str]:
+    return " ".join(" ".join(g for g in m.groups()[1:] if g) for m in _NAMED.finditer(attributes)).split()
+
+
 def _is_boilerplate(tag: str, attributes: str, in_content: bool) -> bool:
     if tag in LEFT_OUT or tag == "header" and not in_content:
         return True
@@ -74,14 +101,75 @@ def _is_boilerplate(tag: str, attributes: str, in_content: bool) -> bool:
         return False
     if not attributes:
         return False
-    named = " ".join(" ".join(g for g in m.groups()[1:] if g) for m in _NAMED.finditer(attributes))
-    return bool(named and _BOILERPLATE.search(named) or _HIDDEN.search(attributes))
+    return any(map(_BOILERPLATE.fullmatch, _names(attributes))) or bool(_HIDDEN.search(attributes))
+
+
+def _closed_by_start(stack: list[str], tag: str) -> int:
+    """How many of the open elements stay open when ``tag`` starts."""
+    keep = len(stack)
+    if tag in ENDS_P:
+        for i in range(keep - 1, -1, -1):
+            if stack[i] == "p":
+                keep = i
+                break
+            if stack[i] in TABLE or stack[i] == "button":
+                break
+    for ended, by, passed in IMPLIED:
+        if tag in by:
+            for i in range(keep - 1, -1, -1):
+                if stack[i] in ended:
+                    keep = i
+                    break
+                if stack[i] == "table" or passed is not None and stack[i] not in passed:
+                    break
+    return keep
+
+
+def _closed_by_end(stack: list[str], tag: str) -> int:
+    """How many of the open elements stay open at the end tag; all, if it ends none."""
+    for i in range(len(stack) - 1, -1, -1):
+        if stack[i] == tag:
+            return i
+        if stack[i] == "table" and tag not in ("html", "body") or stack[i] in TABLE and tag not in TABLE:
+            break
+        if tag == "li" and stack[i] in ("ul", "ol", "menu"):
+            break
+    return len(stack)
+
+
+def _holders(page: str) -> set[int]:
+    """Where elements start that hold every article and main element of the page."""
+    if not _ANY_CONTENT.search(page):
+        return set()
+    stack, opened, seen, at, held = [], [], 0, 0, {}
+    while (found := _TOKEN.search(page, at)) is not None:
+        at = found.end()
+        closing, tag, attributes = found.group(1), (found.group(2) or "").lower(), found.group(3) or ""
+        if not tag or tag in VOID or tag in INLINE and tag != "span":
+            continue
+        if tag in RAW:
+            if not closing:
+                end = re.compile(rf"</{tag}\s*>", re.I).search(page, at)
+                at = end.end() if end else len(page)
+            continue
+        keep = _closed_by_end(stack, tag) if closing else _closed_by_start(stack, tag)
+        for start, before in opened[keep:]:
+            held[start] = seen - before
+        del stack[keep:], opened[keep:]
+        if not closing and not attributes.endswith("/"):
+            stack.append(tag)
+            opened.append((found.start(), seen))
+            seen += tag in CONTENT
+    for start, before in opened:
+        held[start] = seen - before
+    return {start for start, n in held.items() if n == seen > 0}
 
 
 def page_lines(page: str) -> list[tuple[str, int, int]]:
     """(text, characters in links, content element or 0) of every line, "" where text is left out."""
     lines, content, inside = [_Line(0)], 0, []
-    skipped, depth, gap, links, at, size = "", 0, 0, 0, 0, len(page)
+    skipped, gap, links, at, size = "", 0, 0, 0, len(page)
+    stack, base, holders = [], 0, _holders(page)  # open elements; those before the one left out
 
     def text_to(end: int) -> None:
         if end > at and not skipped:
@@ -101,17 +189,27 @@ def page_lines(page: str) -> list[tuple[str, int, int]]:
         closing, tag, attributes = found.group(1), (found.group(2) or "").lower(), found.group(3) or ""
         if not tag:
             continue
-        if skipped:
-            if tag == skipped:
-                depth += -1 if closing else 0 if attributes.endswith("/") else 1
-                if depth <= 0:
-                    skipped = ""
-                    new_line(gap)
+        own = tag not in VOID and tag not in RAW and (tag not in INLINE or tag == "span")
+        if own:
+            keep = _closed_by_end(stack, tag) if closing else _closed_by_start(stack, tag)
+            ends = skipped and keep <= base
+            consumed = ends and closing and tag == skipped and keep == base
+            del stack[keep:]
+            if ends:
+                skipped = ""
+                new_line(gap)
+            if consumed:
                 continue
-            if not (tag in CONTENT and skipped not in CONTENT and not closing and depth_open(page, skipped, at)):
+        if skipped:
+            if tag in CONTENT and skipped not in CONTENT and not closing and depth_open(page, skipped, at):
+                skipped = ""  # an element that is never closed ends where the article begins
+                new_line(GAP)
+            else:
+                if own and not closing and not attributes.endswith("/"):
+                    stack.append(tag)
+                elif tag in RAW and not closing and (end := re.compile(rf"</{tag}\s*>", re.I).search(page, at)):
+                    at = end.end()
                 continue
-            skipped = ""  # an element that is never closed ends where the article begins
-            new_line(GAP)
         if tag in RAW and not closing:
             end = re.compile(rf"</{tag}\s*>", re.I).search(page, at)
             at = end.end() if end else size
@@ -120,10 +218,13 @@ def page_lines(page: str) -> list[tuple[str, int, int]]:
             continue
         if tag == "a":
             links = 0 if closing else 1
-        if not closing and tag not in VOID and not attributes.endswith("/") and _is_boilerplate(tag, attributes, bool(inside)):
-            skipped, depth = tag, 1
+        if not closing and tag not in VOID and not attributes.endswith("/") and found.start() not in holders and _is_boilerplate(tag, attributes, bool(inside)):
+            skipped, base = tag, len(stack)
+            stack.append(tag)
             gap = 1 if tag in _WITHIN_TAGS or _WITHIN.search(attributes) else GAP
             continue
+        if own and not closing and not attributes.endswith("/"):
+            stack.append(tag)
         if tag in CONTENT:
             new_line()
             if closing:
