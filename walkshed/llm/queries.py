@@ -4,15 +4,37 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from walkshed.llm import ann, decontaminate, html_extract, language_id, line_dedup, mixing, pii, sharding, simhash, toxicity
+from walkshed.llm import (
+    ann, decontaminate, html_extract, language_id, line_dedup, merkle, mixing, pii, sentence_pieces, sharding, simhash, toxicity,
+)
 from walkshed.llm.common import read_table
 
+#: The public vocabulary of op12.
+PIECES = "piece_bpe_32k.model"
+
 #: Words of a text in the normal form of the decontamination, as a list.
 _NORMAL_WORDS = r"regexp_extract_all(translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
+#: The common table expression crc(id, value) over a query of ids; DuckDB has no crc32. To follow WITH RECURSIVE.
+_CRC32 = """
+        bits AS (
+            SELECT range AS byte, range AS c, 0 AS k FROM range(256)
+            UNION ALL
+            SELECT byte, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, k + 1 FROM bits WHERE k < 8
+        ), steps AS (
+            SELECT id, CAST(id AS VARCHAR) AS s, 0 AS pos, 4294967295 AS c FROM ({ids})
+            UNION ALL
+            SELECT id, s, pos + 1, xor(steps.c >> 8, bits.c)
+            FROM steps JOIN bits ON k = 8 AND byte = xor(steps.c, ascii(s[pos + 1])) & 255 WHERE pos < length(s)
+        ), crc AS (SELECT id, xor(c, 4294967295) AS value FROM steps WHERE pos = length(s))"""
+
+#: A value as input of a leaf of op13.
+_LEAF_FIELD = "coalesce(strlen(CAST({0} AS VARCHAR)) || ':' || CAST({0} AS VARCHAR), '-')"
+
 ORACLE_SQL = {
     "op3_mixing": r"""
         WITH RECURSIVE d AS (
@@ -68,6 +90,55 @@ ORACLE_SQL = {
                sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
         FROM w LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)
     """,
+    "op13_merkle": f"""
+        WITH RECURSIVE {_CRC32.format(ids="SELECT DISTINCT doc_id AS id FROM documents WHERE doc_id IS NOT NULL")},
+        f AS (
+            SELECT doc_id, lang, coalesce(crc.value % 7 = 0, false) AS hit,
+                   {_LEAF_FIELD.format("doc_id")} || {_LEAF_FIELD.format("source")} || {_LEAF_FIELD.format("lang")} AS head,
+                   {_LEAF_FIELD.format("n_chars")} AS n, {_LEAF_FIELD.format("n_chars + 1")} AS n_altered, {_LEAF_FIELD.format("text")} AS tail
+            FROM documents LEFT JOIN crc ON crc.id = doc_id
+        ), l AS (
+            SELECT *, sha256(head || n || tail) AS leaf, sha256(head || CASE WHEN hit THEN n_altered ELSE n END || tail) AS start FROM f
+        ), r AS (
+            SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS rank FROM l
+        ), tree AS (  -- all levels of all groups; nodes by rank
+            SELECT lang, 0 AS level, rank, leaf AS hash, count(*) OVER (PARTITION BY lang) AS n FROM r
+            UNION ALL
+            SELECT lang, level + 1, rank // 2, sha256(string_agg(hash, '' ORDER BY rank)), (any_value(n) + 1) // 2
+            FROM tree WHERE n > 1 GROUP BY lang, level, rank // 2
+        ), s AS (
+            SELECT lang, hash AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS rank FROM tree WHERE n = 1
+        ), top AS (
+            SELECT 0 AS level, rank, subroot AS hash, count(*) OVER () AS n FROM s
+            UNION ALL
+            SELECT level + 1, rank // 2, sha256(string_agg(hash, '' ORDER BY rank)), (any_value(n) + 1) // 2
+            FROM top WHERE n > 1 GROUP BY level, rank // 2
+        ), way AS (  -- up from the leaf; the proof so far, and the hash so far
+            SELECT r.doc_id, r.lang, r.leaf, 0 AS level, r.rank, r.start AS done, '' AS proof, r.rank AS leaf_rank FROM r
+            UNION ALL
+            SELECT w.doc_id, w.lang, w.leaf, w.level + 1, w.rank // 2,
+                   CASE WHEN o.rank < w.rank THEN sha256(o.hash || w.done) ELSE sha256(w.done || coalesce(o.hash, '')) END,
+                   w.proof || coalesce(o.hash, ''), w.leaf_rank
+            FROM way w
+            JOIN tree t ON t.lang IS NOT DISTINCT FROM w.lang AND t.level = w.level AND t.rank = w.rank AND t.n > 1
+            LEFT JOIN tree o ON o.lang IS NOT DISTINCT FROM w.lang AND o.level = w.level AND o.rank = xor(w.rank, 1::BIGINT)
+        ), whole AS (
+            SELECT w.*, s.subroot, s.rank AS top_rank
+            FROM way w JOIN tree t ON t.lang IS NOT DISTINCT FROM w.lang AND t.level = w.level AND t.n = 1
+            JOIN s ON s.lang IS NOT DISTINCT FROM w.lang
+        ), up AS (
+            SELECT doc_id, leaf, subroot, 0 AS level, top_rank AS rank, done, proof, lang, leaf_rank FROM whole
+            UNION ALL
+            SELECT u.doc_id, u.leaf, u.subroot, u.level + 1, u.rank // 2,
+                   CASE WHEN o.rank < u.rank THEN sha256(o.hash || u.done) ELSE sha256(u.done || coalesce(o.hash, '')) END,
+                   u.proof || coalesce(o.hash, ''), u.lang, u.leaf_rank
+            FROM up u
+            JOIN top t ON t.level = u.level AND t.rank = u.rank AND t.n > 1
+            LEFT JOIN top o ON o.level = u.level AND o.rank = xor(u.rank, 1::BIGINT)
+        )
+        SELECT u.doc_id, u.leaf, u.subroot, t.hash AS root, sha256(u.proof) AS proof_sha256, u.done AS folded_root, u.done = t.hash AS verified
+        FROM up u JOIN top t ON t.level = u.level AND t.n = 1
+    """,
     "op9_line_dedup": r"""
         WITH l AS (
             SELECT doc_id, generate_subscripts(lines, 1) AS pos, unnest(lines) AS line
@@ -173,6 +244,32 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.train_and_predict(read_table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
 
+def op12_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every document under a public vocabulary, and the text they decode to."""
+    found = sentence_pieces.encode(read_table(spark, sf_dir, "documents"), public_tokenizers.path(PIECES))
+    return found.select(
+        F.col("id").alias("doc_id"),
+        F.size("ids").cast("bigint").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+        "agrees",
+    )
+
+
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The place of every document in a Merkle tree, and what becomes of the proofs of altered ones."""
+    docs = read_table(spark, sf_dir, "documents")
+    hit = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(7)) == 0
+    others = [F.col(c) for c in ("doc_id", "source", "lang")]
+    altered = F.when(hit, merkle.leaf(*others, F.col("n_chars") + 1, F.col("text")))
+    found = merkle.manifest(docs, altered=altered)
+    siblings = F.array_join(F.filter(F.col("proof.hash"), lambda h: h.isNotNull()), "")
+    root = merkle.folded(F.coalesce("altered", "leaf"), F.col("proof"))
+    return found.select(
+        F.col("id").alias("doc_id"), "leaf", "subroot", "root", merkle.digest(siblings).alias("proof_sha256"), root.alias("folded_root")
+    ).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
 REGISTERED = (
     op1_simhash,
     op2_html_extraction,
@@ -184,6 +281,8 @@ REGISTERED = (
     op8_sharding,
     op9_line_dedup,
     op10_language_id,
+    op12_sentence_pieces,
+    op13_merkle,
 )
 
 
