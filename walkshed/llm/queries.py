@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from walkshed.llm import (
-    ann, decontaminate, html_extract, language_id, line_dedup, merkle, mixing, pii, sentence_pieces, sharding, simhash, toxicity,
+    ann, decontaminate, html_extract, language_id, line_dedup, merkle, mixing, pii, prefix_trie, sentence_pieces, sharding, simhash,
+    toxicity,
 )
 from walkshed.llm.common import read_table
 
@@ -90,6 +91,43 @@ ORACLE_SQL = {
                sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
         FROM w LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)
     """,
+    "op11_prefix_trie": f"""
+        WITH RECURSIVE {_CRC32.format(ids="SELECT DISTINCT conv_id AS id FROM conversations WHERE conv_id IS NOT NULL")},
+        t AS (
+            SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL
+        ), o AS (
+            SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, md5(length(role) || ':' || role || text)) AS pos FROM t
+        ), c AS (SELECT id, value % 6 AS h, id - id % 100 AS base FROM crc),
+        parts AS (
+            SELECT c.id, 0 AS own, o.pos, o.role, o.text FROM c JOIN o ON o.conv_id = c.base AND o.pos <= c.h
+            UNION ALL
+            SELECT c.id, 1, o.pos, o.role, o.text FROM c JOIN o ON o.conv_id = c.id AND o.pos > c.h
+        ), turns AS (
+            SELECT id, text, md5(length(role) || ':' || role || text) AS code, row_number() OVER (PARTITION BY id ORDER BY own, pos) AS depth FROM parts
+        ), paths AS (
+            SELECT id, depth, length(text) AS n,
+                   md5(string_agg(code, ',') OVER (PARTITION BY id ORDER BY depth)) AS key
+            FROM turns
+            UNION ALL
+            SELECT id, 0, 0, '' FROM c
+        ), up AS (
+            SELECT *, lag(key) OVER (PARTITION BY id ORDER BY depth) AS parent, depth = max(depth) OVER (PARTITION BY id) AS last FROM paths
+        ), nodes AS (
+            SELECT depth, key, any_value(parent) AS parent, any_value(n) AS n, min(id) AS conv_id, count(*) AS n_convs,
+                   sha256(coalesce(string_agg(CAST(id AS VARCHAR), ',' ORDER BY id) FILTER (last), '')) AS ends_sha256
+            FROM up GROUP BY depth, key
+        ), kids AS (SELECT depth - 1 AS depth, parent AS key, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY ALL),
+        below AS (  -- each node under all nodes over it, by the path of its smallest member
+            SELECT u.depth, u.key, count(*) FILTER (k.n_children IS NULL) AS n_leaves, sum((x.n_convs - 1) * x.n) AS saved
+            FROM nodes x JOIN up u ON u.id = x.conv_id AND u.depth <= x.depth LEFT JOIN kids k ON k.depth = x.depth AND k.key = x.key
+            GROUP BY u.depth, u.key
+        )
+        SELECT CAST(x.conv_id AS BIGINT) AS conv_id, CAST(x.depth AS BIGINT) AS depth, p.conv_id AS parent_conv_id, x.n_convs,
+               coalesce(k.n_children, 0) AS n_children, b.n_leaves, CAST(b.saved AS BIGINT) AS saved_tokens, x.ends_sha256
+        FROM nodes x JOIN below b ON b.depth = x.depth AND b.key = x.key
+        LEFT JOIN kids k ON k.depth = x.depth AND k.key = x.key
+        LEFT JOIN nodes p ON p.depth = x.depth - 1 AND p.key = x.parent
+    """,
     "op13_merkle": f"""
         WITH RECURSIVE {_CRC32.format(ids="SELECT DISTINCT doc_id AS id FROM documents WHERE doc_id IS NOT NULL")},
         f AS (
@@ -244,6 +282,15 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.train_and_predict(read_table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The prefix tree of the rebuilt conversations."""
+    c = F.col("c")
+    shared = F.pmod(F.crc32(c.cast("string")), F.lit(6))
+    found = prefix_trie.conversation_trie(read_table(spark, sf_dir, "conversations"), h=shared, base=c - c % 100)
+    counts = [F.col(n).cast("bigint").alias(n) for n in ("n_convs", "n_children", "n_leaves", "saved_tokens")]
+    return found.select("conv_id", "depth", "parent_conv_id", *counts, "ends_sha256")
+
+
 def op12_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document under a public vocabulary, and the text they decode to."""
     found = sentence_pieces.encode(read_table(spark, sf_dir, "documents"), public_tokenizers.path(PIECES))
@@ -281,6 +328,7 @@ REGISTERED = (
     op8_sharding,
     op9_line_dedup,
     op10_language_id,
+    op11_prefix_trie,
     op12_sentence_pieces,
     op13_merkle,
 )
