@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from uuid import uuid4
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from walkshed.session import stage_table
+from walkshed.session import delete_folder, new_folder, stage_table
 
 #: The characters that separate words and are stripped from lines: space and U+0009 to U+000D.
 WHITE = " \t\n\u000b\f\r"
@@ -21,13 +23,30 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Where ``stage`` writes inside ``scratch``, innermost last.
+_FOLDERS: list[str] = []
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Tables staged inside the block are deleted at its end, so nothing lazy may be left of them."""
+    folder = new_folder(spark, "scratch")
+    _FOLDERS.append(folder)
+    try:
+        yield
+    finally:
+        _FOLDERS.remove(folder)
+        delete_folder(spark, folder)
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     Later jobs start from files, which cuts the lineage and tells Spark the size of the
     table, so that a join broadcasts it only below Spark's own threshold.
     """
-    return stage_table(df, name)
+    folder = _FOLDERS[-1] if _FOLDERS else None
+    return stage_table(df, f"{name}-{uuid4().hex}" if folder else name, folder)
 
 
 def crc32_text(column: str | Column) -> Column:

@@ -56,6 +56,15 @@ class _BitCounts:
         return int.from_bytes(np.packbits(2 * self.ones.ravel() > self.total).tobytes(), "big") if self.total else 0
 
 
+def of_hashes(hashes: np.ndarray) -> int:
+    """The fingerprint of 64-bit hashes (uint64), each of which counts once."""
+    counts = _BitCounts()
+    for i in range(0, len(hashes), BLOCK):
+        counts.add([hashes[i : i + BLOCK].astype(">u8").tobytes()])
+        counts.total += len(hashes[i : i + BLOCK]) - 1
+    return counts.fingerprint()
+
+
 def simhash(text: str | None, shingle: int = 3) -> int:
     """Unsigned 64-bit SimHash over shingles of lower-cased (A-Z) words; 0 without words.
 
@@ -306,16 +315,3 @@ def near_duplicates(
     )
     found = rows.join(merged, rows["fp"] == merged["code"], "left")
     return found.select("id", "fp", F.when(F.col("id").isNotNull(), F.col("component")).alias("component"))
-
-
-def first_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **kwargs) -> DataFrame:
-    """``docs`` without near duplicates: of each group the row with the least id stays.
-
-    Of rows repeated with that id one stays. Rows without an id are kept. All
-    columns of ``docs`` are returned as they are.
-    """
-    groups = near_duplicates(docs, id_col, text_col, **kwargs)
-    kept = groups.where("id = component").select(F.col("id").alias("kept__")).distinct()
-    with_id = docs.where(F.col(id_col).isNotNull())
-    once = with_id.join(kept, with_id[id_col] == kept["kept__"], "left_semi").dropDuplicates([id_col])
-    return once.unionByName(docs.where(F.col(id_col).isNull()))
