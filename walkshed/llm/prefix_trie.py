@@ -92,7 +92,7 @@ def rebuilt(placed: DataFrame, own: DataFrame, h: Column, base: Column, most: in
     heads = heads.withColumn("at", F.aggregate("part", zero, add))
     x1, x2 = _lanes(F.col("t.pos"), F.col("t.code"))
     heads = heads.select(
-        "c", F.lit(0).cast("bigint").alias("block"), F.col("t.pos").alias("depth"), "at.k1", "at.k2", x1.alias("x1"), x2.alias("x2"), F.col("t.n").alias("n"), "at.upto"
+        "c", F.col("t.pos").alias("depth"), "at.k1", "at.k2", x1.alias("x1"), x2.alias("x2"), F.col("t.n").alias("n"), "at.upto"
     )
 
     # Own turns: blocks of a conversation meet its row, then run within the block.
@@ -118,10 +118,10 @@ def rebuilt(placed: DataFrame, own: DataFrame, h: Column, base: Column, most: in
         return F.col(run_).bitwiseXOR(F.coalesce(sum_, F.lit(0))).bitwiseXOR(F.col(f"at_head.{head}")).alias(run_)
 
     upto = F.col("upto") + F.coalesce("n_b", F.lit(0)) + F.col("at_head.upto")
-    own_turns = joined.select("c", "block", "depth", whole("k1", "x1_b", "k1"), whole("k2", "x2_b", "k2"), "x1", "x2", "n", upto.alias("upto"))
+    own_turns = joined.select("c", "depth", whole("k1", "x1_b", "k1"), whole("k2", "x2_b", "k2"), "x1", "x2", "n", upto.alias("upto"))
     both = heads.unionByName(own_turns)
     paths = stage(
-        both.select("c", "block", "depth", "k1", "k2", F.col("k1").bitwiseXOR(F.col("x1")).alias("p1"), F.col("k2").bitwiseXOR(F.col("x2")).alias("p2"), "n", "upto"),
+        both.select("c", F.floor(F.col("depth") / BLOCK).cast("bigint").alias("block"), "depth", "k1", "k2", F.col("k1").bitwiseXOR(F.col("x1")).alias("p1"), F.col("k2").bitwiseXOR(F.col("x2")).alias("p2"), "n", "upto"),
         "paths",
     )
     # The last turn: of the own turns if any are left, else of the head.
@@ -232,7 +232,7 @@ def trie(paths: DataFrame, ends: DataFrame) -> DataFrame:
         ends.groupBy(*NODE).agg(F.min("c").alias("conv_id"), F.count("*").alias("weight"), F.first("total").alias("total")), "sequences"
     )
     # The rows of a sequence are those of its first conversation; one row per block of its path, and the root.
-    last_block = F.floor(F.col("depth") / BLOCK + 1).cast("bigint")
+    last_block = F.floor(F.col("depth") / BLOCK).cast("bigint")
     blocks = sequences.select(
         F.col("conv_id").alias("c2"), F.col("depth").alias("length"), "weight", "total",
         F.explode(F.sequence(F.lit(0).cast("bigint"), last_block)).alias("block2"),
@@ -257,7 +257,7 @@ def trie(paths: DataFrame, ends: DataFrame) -> DataFrame:
     charged = nodes.groupBy("conv_id").agg(F.min("depth").alias("since"), F.sum("n").alias("charge"))
     told = sequences.select("conv_id", last_block.alias("last")).join(charged, "conv_id", "left")
     told = told.join(leaves, F.col("conv_id") == F.col("leaf"), "left").select(
-        F.col("conv_id").alias("c2"), F.coalesce("since", F.col("last") * BLOCK).alias("since"), F.coalesce("charge", zero).alias("charge"),
+        F.col("conv_id").alias("c2"), F.coalesce("since", (F.col("last") + 1) * BLOCK).alias("since"), F.coalesce("charge", zero).alias("charge"),
         F.col("leaf").isNotNull().cast("bigint").alias("is_leaf"), F.explode(F.sequence(zero, F.col("last"))).alias("block2"),
     )
     told = stage(told, "charges")
