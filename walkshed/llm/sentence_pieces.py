@@ -5,15 +5,15 @@ whose union is in the vocabulary, ordered by score and then from left to right;
 merged, and the pairs that the new symbol forms enter the agenda, until it is empty. Characters
 the vocabulary lacks become byte pieces.
 
-Where no piece goes on after a word with a space mark, no merge crosses the start of a word, so
-words are encoded one by one and frequent ones are remembered. Every Arrow batch is checked
-against the sentencepiece library.
+No merge crosses two neighbouring characters that no piece holds side by side, such as the last of
+a word and a space mark. A text is cut there, and the words between have an agenda each. Those of
+short words that are not remembered are the rows of one array: a step takes the best pair of every
+row. Longer words have a heap. Every Arrow batch is checked against the sentencepiece library.
 """
 
 from __future__ import annotations
 
 import heapq
-import re
 import struct
 from collections.abc import Callable, Iterator
 from itertools import chain
@@ -21,19 +21,22 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from walkshed.llm.common import ROWS_AT_ONCE
-
 SPACE = "▁"
 #: What an id without text decodes to.
 UNKNOWN_TEXT = " ⁇ "
-#: Words remembered by a task, and the characters of the longest remembered.
-REMEMBERED, REMEMBERED_CHARS = 1 << 18, 32
-#: Ids of one output batch, about.
-BATCH_IDS = 1 << 20
+#: Words remembered by a worker, and the characters of the longest.
+REMEMBERED, SHORT = 1 << 19, 32
+#: Short words whose agendas are worked on together.
+TOGETHER = 1 << 12
+#: Places of the tables of neighbours and of pairs of symbols, powers of two.
+JOINS, PLACES = 1 << 22, 1 << 20
+#: Rows, and bytes of text, encoded together.
+ROWS, BYTES = 256, 1 << 22
 
 # Fixed values of the public model file format: kinds of pieces and of models.
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
@@ -99,8 +102,75 @@ class Vocabulary:
         self.order = {t: -self.scores[i] for t, i in self.ids.items()}
         self.unknown = self.kinds.index(UNKNOWN)
         self.bytes = {int(t[3:5], 16): i for i, (t, kind) in enumerate(zip(self.texts, self.kinds)) if kind == BYTE}
-        crossing = any(SPACE in t.lstrip(SPACE) for t in self.ids)
-        self.words = re.compile(".+" if crossing else f"{SPACE}*[^{SPACE}]+|{SPACE}+", re.DOTALL)
+        self._pairs()
+        #: What an id decodes to on its own; None for bytes that are only part of a character.
+        self.surfaces = [
+            (chr(int(t[3:5], 16)) if int(t[3:5], 16) < 0x80 else None) if kind == BYTE
+            else {CONTROL: "", UNKNOWN: UNKNOWN_TEXT}.get(kind, t.replace(SPACE, " "))
+            for t, kind in zip(self.texts, self.kinds)
+        ]
+        self.joins = np.zeros(JOINS, np.bool_)
+        for text in self.ids:
+            codes = np.array([ord(c) for c in text], np.uint32)
+            self.joins[self._joined(codes)] = True
+
+    @staticmethod
+    def _joined(codes: np.ndarray) -> np.ndarray:
+        """Where ``joins`` holds each two neighbours. Some share a place, which only leaves words longer."""
+        return (codes[:-1] * np.uint32(0x9E3779B1) ^ codes[1:] * np.uint32(0x85EBCA6B)) >> np.uint32(32 - JOINS.bit_length() + 1)
+
+    def words(self, text: str) -> list[str]:
+        """The text, cut between neighbours that no piece holds side by side."""
+        codes = np.frombuffer(text.encode("utf-32-le"), np.uint32)
+        cuts = (np.flatnonzero(~self.joins[self._joined(codes)]) + 1).tolist()
+        return [text[i:j] for i, j in zip([0, *cuts], [*cuts, len(text)])]
+
+    def _pairs(self) -> None:
+        """Number the symbols, and list the pairs of symbols whose union is a piece.
+
+        Symbols are numbered as pieces; a character that is no piece gets a number above them.
+        """
+        n = len(self.texts)
+        self.symbols = np.arange(n, n + 0x110000)
+        for text, i in self.ids.items():
+            if len(text) == 1:
+                self.symbols[ord(text)] = i
+        self.base = n + 0x110000
+
+        def symbol(text: str) -> int | None:
+            return int(self.symbols[ord(text)]) if len(text) == 1 else self.ids.get(text)
+
+        found = []
+        for text, i in self.ids.items():
+            for cut in range(1, len(text)):
+                left, right = symbol(text[:cut]), symbol(text[cut:])
+                if left is not None and right is not None:
+                    found.append((left * self.base + right, -self.scores[i], i))
+        found = found or [(-1, np.inf, 0)]
+        self.keys, self.ranks, self.made = (np.array(c) for c in zip(*found))
+        # Where each key is: in the first table by its hash, or in the next if its place is taken.
+        self.places, left = [], np.arange(len(found))
+        while len(left):
+            places = np.full(PLACES, -1, np.int32)
+            hashed = self._place(self.keys[left], len(self.places))
+            places[hashed] = left
+            self.places.append(places)
+            left = left[places[hashed] != left]
+
+    @staticmethod
+    def _place(keys: np.ndarray, table: int) -> np.ndarray:
+        mixed = keys * np.int64(0x9E3779B97F4A7C15 - (1 << 64) + 2 * table)
+        return (mixed ^ mixed >> 32) & (PLACES - 1)
+
+    def paired(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(rank, union) of pairs of symbols; rank infinity if the union is no piece. The best rank is the least."""
+        wanted = left * self.base + right
+        ranks, made = np.full(wanted.shape, np.inf), np.zeros(wanted.shape, np.int64)
+        for table, places in enumerate(self.places):
+            at = places[self._place(wanted, table)]
+            found = self.keys[at] == wanted  # -1, for an empty place, is the last key, which then differs or is right
+            ranks[found], made[found] = self.ranks[at[found]], self.made[at[found]]
+        return ranks, made
 
 
 class Encoder:
@@ -108,7 +178,7 @@ class Encoder:
 
     def __init__(self, vocabulary: Vocabulary) -> None:
         self.vocabulary = vocabulary
-        self._known: dict[str, tuple[int, ...]] = {}
+        self._known: dict[str, bytes] = {}
 
     def merged(self, word: str) -> list[str]:
         """The symbols of a word when no adjacent pair is in the vocabulary any more."""
@@ -133,35 +203,94 @@ class Encoder:
             i = stop[i]
         return out
 
-    def _word(self, word: str) -> tuple[int, ...]:
-        found = self._known.get(word)
-        if found is None:
-            ids, made = self.vocabulary.ids, []
-            for symbol in self.merged(word):
-                known = ids.get(symbol)
-                if known is not None:
-                    made.append(known)
-                elif self.vocabulary.bytes:
-                    made.extend(self.vocabulary.bytes[b] for b in symbol.encode("utf-8"))
-                else:
-                    made.append(self.vocabulary.unknown)
-            found = tuple(made)
-            if len(word) <= REMEMBERED_CHARS:
-                if len(self._known) >= REMEMBERED:
-                    self._known.clear()
-                self._known[word] = found
-        return found
-
-    def encode(self, text: str) -> list[int]:
-        if not text:
-            return []
-        marked = self.vocabulary.prefix + text.replace(" ", SPACE)
-        return list(chain.from_iterable(map(self._word, self.vocabulary.words.findall(marked))))
+    def _ids(self, symbols: list[str]) -> bytes:
+        ids, made = self.vocabulary.ids, []
+        for symbol in symbols:
+            known = ids.get(symbol)
+            if known is not None:
+                made.append(known)
+            elif self.vocabulary.bytes:
+                made.extend(self.vocabulary.bytes[b] for b in symbol.encode("utf-8"))
+            else:
+                made.append(self.vocabulary.unknown)
+        return np.array(made, np.int32).tobytes()
+
+    def merged_rows(self, words: list[str]) -> list[bytes]:
+        """The ids of words of similar length, all agendas being the rows of one array."""
+        v, n, width = self.vocabulary, len(words), max(map(len, words))
+        codes = np.frombuffer("".join(w.ljust(width, "\0") for w in words).encode("utf-32-le"), np.uint32)
+        symbols = np.full((n, width + 1), -v.base)  # in no pair; the last column stands for none
+        inside = np.arange(width) < np.array([len(w) for w in words])[:, None]
+        symbols[:, :-1][inside] = v.symbols[codes.reshape(n, width)[inside]]
+        ranks, unions = np.full((n, width + 1), np.inf), np.zeros((n, width + 1), np.int64)
+        ranks[:, :-1], unions[:, :-1] = v.paired(symbols[:, :-1], symbols[:, 1:])
+        after = np.tile(np.minimum(np.arange(1, width + 2), width), (n, 1))
+        before = np.tile(np.append(width, np.arange(width)), (n, 1))
+        rows, out = np.arange(n), symbols.copy()
+        while True:
+            best = ranks.argmin(1)
+            more = ranks[np.arange(len(rows)), best] < np.inf
+            each = np.flatnonzero(more)
+            if 2 * len(each) <= len(rows):  # half of the words are done
+                out[rows[~more]] = symbols[~more]
+                rows, best = rows[more], best[more]
+                symbols, ranks, unions, after, before = (m[more] for m in (symbols, ranks, unions, after, before))
+                each = np.arange(len(rows))
+                if not len(rows):
+                    break
+            at = best[each]
+            merged = after[each, at]
+            right, left = after[each, merged], before[each, at]
+            symbols[each, at], symbols[each, merged] = unions[each, at], -v.base
+            ranks[each, merged] = np.inf
+            after[each, at], before[each, right] = right, at
+            # The pairs that the new symbol forms.
+            here = symbols[each, at]
+            found, made = v.paired(np.append(here, symbols[each, left]), np.append(symbols[each, right], here))
+            ranks[each, at], unions[each, at] = found[: len(each)], made[: len(each)]
+            ranks[each, left], unions[each, left] = found[len(each) :], made[len(each) :]
+        alive = out >= 0
+        ends = np.cumsum(alive.sum(1))
+        flat, pieces = out[alive], len(v.texts)
+        odd = np.unique(np.searchsorted(ends, np.flatnonzero(flat >= pieces), "right")).tolist()
+        held, ends = flat.astype(np.int32).tobytes(), [0, *ends.tolist()]
+        made = [held[4 * i : 4 * j] for i, j in zip(ends, ends[1:])]
+        for at in odd:  # with characters that are no pieces
+            symbols_ = flat[ends[at] : ends[at + 1]].tolist()
+            made[at] = self._ids([v.texts[c] if c < pieces else chr(c - pieces) for c in symbols_])
+        return made
+
+    def _remember(self, words: set[str]) -> dict[str, bytes]:
+        """The ids of short words, from memory or made."""
+        if len(self._known) + len(words) > REMEMBERED:
+            self._known.clear()
+        new = sorted((w for w in words if w not in self._known), key=len)
+        for i in range(0, len(new), TOGETHER):
+            part = new[i : i + TOGETHER]
+            self._known.update(zip(part, self.merged_rows(part)))
+        return self._known
+
+    def encode_all(self, texts: list[str]) -> list[np.ndarray]:
+        """The ids of each text."""
+        v, words = self.vocabulary, []
+        for text in texts:
+            words.append(v.words(v.prefix + text.replace(" ", SPACE)) if text else [])
+        different = set(chain.from_iterable(words))
+        known = self._remember({w for w in different if len(w) <= SHORT})
+        long = {w: self._ids(self.merged(w)) for w in different if len(w) > SHORT}
+        known.update(long)
+        made = [np.frombuffer(b"".join(map(known.__getitem__, part)), np.int32) for part in words]
+        for w in long:
+            del known[w]
+        return made
 
     def decode(self, ids: list[int]) -> str:
         """The text of ids. A byte that is part of no character becomes U+FFFD."""
         v, out, held = self.vocabulary, [], bytearray()
         first = bool(v.prefix)
+        alone = [v.surfaces[i] for i in ids]
+        if alone and v.kinds[ids[0]] == NORMAL and None not in alone:
+            return "".join(alone)[first and v.texts[ids[0]].startswith(SPACE) :]
 
         def flush() -> None:
             at = 0
@@ -194,26 +323,37 @@ class Encoder:
         return "".join(out)
 
 
-def _as_arrow(ids: list[list[int]], texts: list[str], agrees: list[bool | None]) -> list[pa.Array]:
-    offsets = np.concatenate([[0], np.cumsum([len(i) for i in ids])]).astype(np.int32)
-    flat = np.fromiter(chain.from_iterable(ids), np.int32, int(offsets[-1]))
+def _as_arrow(ids: list[np.ndarray], texts: list[str], agrees: list[bool | None]) -> list[pa.Array]:
+    offsets = np.cumsum([0, *map(len, ids)]).astype(np.int32)
+    flat = np.concatenate([np.zeros(0, np.int32), *ids])
     return [pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)), pa.array(texts, pa.string()), pa.array(agrees, pa.bool_())]
 
 
+#: The encoder of the last model a worker has seen, so that its words stay remembered from task to task.
+_ENCODERS: dict[bytes, Encoder] = {}
+
+
+def _encoder(model: bytes) -> Encoder:
+    if model not in _ENCODERS:
+        _ENCODERS.clear()
+        _ENCODERS[model] = Encoder(Vocabulary(model))
+    return _ENCODERS[model]
+
+
 def encoder_of(model: bytes, check: bool) -> Callable[[list[str | None]], tuple[list, list, list]]:
     """A function from texts (None as empty) to their ids, decoded texts and whether the library agrees."""
-    own = Encoder(Vocabulary(model))
+    own = _encoder(model)
     library = sentencepiece.SentencePieceProcessor(model_proto=model) if check else None
 
     def made(texts: list[str | None]) -> tuple[list, list, list]:
         texts = [t or "" for t in texts]
-        ids = [own.encode(t) for t in texts]
-        decoded = [own.decode(i) for i in ids]
+        ids = own.encode_all(texts)
+        decoded = [own.decode(i.tolist()) for i in ids]
         agrees: list[bool | None] = [None] * len(texts)
         if library is not None:
             wanted = library.encode(texts, num_threads=1)
             back = library.decode(wanted, num_threads=1) if wanted else []
-            agrees = [a == b and c == d for a, b, c, d in zip(ids, wanted, decoded, back)]
+            agrees = [a.tolist() == b and c == d for a, b, c, d in zip(ids, wanted, decoded, back)]
         return ids, decoded, agrees
 
     return made
@@ -238,24 +378,15 @@ def encode(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         function = encoder_of(model, check)
 
-        def out(held: list[pa.Array], ids: list, decoded: list, agrees: list) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays(
-                [pa.concat_arrays(held), *_as_arrow(ids, decoded, agrees)], names=["id", "ids", "decoded", "agrees"]
-            )
-
         for batch in batches:
-            held, ids, decoded, agrees, many = [], [], [], [], 0
-            for start in range(0, batch.num_rows, ROWS_AT_ONCE // 8):
-                part = batch.slice(start, ROWS_AT_ONCE // 8)
-                more = function(part.column(1).to_pylist())
-                held.append(part.column(0))
-                for whole, piece in zip((ids, decoded, agrees), more):
-                    whole.extend(piece)
-                many += sum(map(len, more[0]))
-                if many >= BATCH_IDS:
-                    yield out(held, ids, decoded, agrees)
-                    held, ids, decoded, agrees, many = [], [], [], [], 0
-            if held:
-                yield out(held, ids, decoded, agrees)
+            sizes = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False)
+            parts, start = np.cumsum(sizes, dtype=np.int64) // BYTES, 0
+            while start < batch.num_rows:
+                stop = start + 1
+                while stop < min(start + ROWS, batch.num_rows) and parts[stop] == parts[start]:
+                    stop += 1
+                part, start = batch.slice(start, stop - start), stop
+                made = _as_arrow(*function(part.column(1).to_pylist()))
+                yield pa.RecordBatch.from_arrays([part.column(0), *made], names=["id", "ids", "decoded", "agrees"])
 
     return source.mapInArrow(run, f"id {kind}, ids array<int>, decoded string, agrees boolean")
