@@ -138,6 +138,16 @@ def _landing_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts(testdata.RAIL_SERVICE, "USE_MM").unionByName(counts(testdata.BUS_SERVICE, "USE_YM"))
 
 
+def _landing_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log after all pages were landed, and those of one service a second time."""
+    path = new_folder(spark, "landed")
+    found = testdata.pages(spark, sf_dir)
+    pages.land(found, path, PAGE_COLUMNS)
+    pages.land(found.where(F.col("service") == testdata.RAIL_SERVICE), path, PAGE_COLUMNS)
+    landed = F.col("n_files").isNotNull().alias("landed")
+    return pages.landing_log(spark, path).select("service", "ym", "attempt", "status", "n_pages", "n_rows", landed)
+
+
 def _sources() -> dict[str, Query]:
     return {
         "scan_rail_wide": _scan(testdata.rail_wide, "USE_MM"),
@@ -154,7 +164,10 @@ def _sources() -> dict[str, Query]:
             "service", "ym", "n_pages", "n_failed_pages", "status"
         ),
         "landing_counts": _landing_counts,
-        "landing_sizes": lambda spark, d: pages.landed_sizes(spark, _landed(spark, d)),
+        "landing_sizes": lambda spark, d: pages.reconciled(spark, _landed(spark, d)).select(
+            "dataset", "ym", "n_rows", "state"
+        ),
+        "landing_log": _landing_log,
     }
 
 
@@ -369,7 +382,7 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    """DuckDB twins; ``landing_sizes`` has none, as file sizes are not in the tables."""
+    """DuckDB twins of the queries of the study, all of them, and of the operators that SQL can express."""
     found = oracle_queries()
     for module in _llm():
         found |= module.oracle_sql()

@@ -315,6 +315,12 @@ PLAIN: dict[str, str] = {
     "landing_counts": f"""SELECT dataset, ym, COUNT(*) AS n_rows FROM (
         SELECT 'subway' AS dataset, page_ym AS ym FROM rail_paged WHERE page_ym NOT IN {FAULTY}
         UNION ALL SELECT 'bus', page_ym FROM bus_paged WHERE page_ym NOT IN {FAULTY}) t GROUP BY 1,2""",
+    "landing_sizes": f"""SELECT dataset, ym, COUNT(*) AS n_rows, 'as logged' AS state FROM (
+        SELECT 'subway' AS dataset, page_ym AS ym FROM rail_paged WHERE page_ym NOT IN {FAULTY}
+        UNION ALL SELECT 'bus', page_ym FROM bus_paged WHERE page_ym NOT IN {FAULTY}) t GROUP BY 1,2
+        UNION ALL SELECT 'total', NULL, (SELECT COUNT(*) FROM rail_paged WHERE page_ym NOT IN {FAULTY}) + (SELECT COUNT(*) FROM bus_paged WHERE page_ym NOT IN {FAULTY}), 'as logged'""",
+    "landing_log": """SELECT service, ym, CAST(attempt AS BIGINT) AS attempt, status, n_pages, n_rows, status IN ('complete','incomplete') AS landed
+        FROM month_state, (SELECT 1 AS attempt UNION ALL SELECT 2) a WHERE attempt = 1 OR service IN (SELECT service FROM rail_paged)""",
     "station_norm": "SELECT station, sta_norm, COUNT(*) AS n_rows FROM rail_normed GROUP BY 1,2",
     "line_norm": "SELECT line, line_norm, COUNT(*) AS n_rows FROM rail_normed GROUP BY 1,2",
     "rail_coord_unique": "SELECT * FROM stations",

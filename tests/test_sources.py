@@ -1,5 +1,6 @@
 """Raw CSV, hourly Parquet and landed pages."""
 
+import gzip
 import json
 
 import pytest
@@ -12,9 +13,9 @@ from walkshed.operators.reshape import packed_records
 from walkshed.plans import analysis
 from walkshed.plans.study import Study
 from walkshed.schema import LANDED_PAGE, RAIL, STATION_MASTER, STOP_MASTER
-from walkshed.sources import pages
+from walkshed.sources import pages, raw_csv
 from walkshed.sources.hourly import read_hourly, write_hourly
-from walkshed.sources.raw_csv import scan_stop_master, scan_station_master, scan_wide
+from walkshed.sources.raw_csv import HEADER_BYTES, header_lines, scan_stop_master, scan_station_master, scan_wide
 from walkshed.streaming.landing import land_new_pages
 
 
@@ -49,6 +50,35 @@ def test_byte_order_mark_is_not_part_of_the_first_name(spark, tmp_path):
     assert rows(scan_station_master(spark, str(stations))) == [("007", "A(b)", "L1", 37.5, 126.9)]
 
 
+@pytest.mark.parametrize("size", [1_000, 1_000_000, 64_000_000])
+def test_headers_are_read_without_the_data(spark, tmp_path, size):
+    for n in range(3):
+        line = f"2025{n:02},100,0123\n"
+        (tmp_path / f"month+{n} .csv").write_text("USE_YM,RTE_NO,STOPS_ID\r\n" + line * (size // len(line)))
+    (tmp_path / "empty.csv").write_text("")
+    found = header_lines(spark, str(tmp_path)).collect()
+    assert len(found) == 3 and {r.header for r in found} == {"USE_YM,RTE_NO,STOPS_ID"}
+    assert sum(r.n_bytes for r in found) <= 3 * HEADER_BYTES
+
+
+def test_headers_of_compressed_long_and_unfinished_files(spark, tmp_path):
+    long = ",".join(f"C{i}" for i in range(20_000))
+    (tmp_path / "a.csv.gz").write_bytes(gzip.compress(b"USE_YM,RTE_NO\n202501,1\n"))
+    (tmp_path / "b.csv").write_text(long)
+    assert {r.header for r in header_lines(spark, str(tmp_path)).collect()} == {"USE_YM,RTE_NO", long}
+    found = scan_wide(spark, [str(tmp_path / "a.csv.gz")])
+    assert rows(found) == [("202501", "1")]
+
+
+def test_files_that_only_spark_can_open(spark, tmp_path, monkeypatch):
+    (tmp_path / "a.csv").write_text("USE_YM,RTE_NO\n202501,1\n")
+    (tmp_path / "b.csv").write_text("RTE_NO,USE_YM\n2,202502\n")
+    lines = [(str(tmp_path), str(tmp_path / name), None, None) for name in ("a.csv", "b.csv")]
+    made = spark.createDataFrame(lines, "folder string, file string, header string, n_bytes bigint")
+    monkeypatch.setattr(raw_csv, "header_lines", lambda spark, path: made)
+    assert rows(scan_wide(spark, str(tmp_path)), "USE_YM", "RTE_NO") == [("202501", "1"), ("202502", "2")]
+
+
 def test_no_files_is_an_error(spark, tmp_path):
     with pytest.raises(FileNotFoundError):
         scan_wide(spark, str(tmp_path))
@@ -280,3 +310,53 @@ def test_preprocess_says_what_it_did_and_sorts_before_hours_are_spread(spark, tm
     done = jobs.preprocess(spark, str(raw), str(tmp_path / "out"), RAIL)
     assert done == {"n_before": 9, "n_after": 6, "n_removed": 3, "n_written": 6}
     assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "0"
+
+
+def landed(spark, source, path, **kwargs):
+    pages.land(spark.createDataFrame(source, LANDED_PAGE), path, {SERVICE: ["STOPS_ID", "CNT"]}, **kwargs)
+
+
+def test_log_holds_every_attempt_and_what_was_landed(spark, tmp_path):
+    path = str(tmp_path / "landed")
+    assert pages.landing_log(spark, path).count() == 0
+    landed(spark, [page("202501", 1, body(2, 2)), page("202502", 1, body(None, 0, code="ERROR-500"))], path)
+    landed(spark, [page("202502", 1, body(3, 3))], path)
+    log = rows(pages.landing_log(spark, path), "ym", "attempt", "status", "n_rows", "n_files")
+    assert log == [("202501", 1, "complete", 2, 1), ("202502", 1, "failed", 0, None), ("202502", 2, "complete", 3, 1)]
+    assert rows(pages.landed_months(spark, path), "ym", "attempt") == [("202501", 1), ("202502", 2)]
+    on_disk = {p.parent.name: p.stat().st_size for p in (tmp_path / "landed" / "bus").glob("ym=*/*.csv")}
+    assert rows(pages.landed_months(spark, path), "ym", "n_bytes") == [(k[3:], v) for k, v in sorted(on_disk.items())]
+    found = {(r.dataset, r.ym): (r.n_rows, r.n_files, r.mb, r.state) for r in pages.reconciled(spark, path).collect()}
+    assert found["total", None] == (5, 2, sum(on_disk.values()) / 2**20, "as logged") and len(found) == 3
+
+
+def test_files_that_differ_from_the_log(spark, tmp_path):
+    path, columns = str(tmp_path / "landed"), {SERVICE: ["STOPS_ID", "CNT"]}
+    landed(spark, [page(ym, 1, body(2, 2)) for ym in ("202501", "202502", "202503", "202504")], path)
+    assert pages.damaged_months(spark, path, columns).count() == 0
+    base = tmp_path / "landed" / "bus"
+    cut = next((base / "ym=202501").glob("*.csv"))
+    cut.write_text("".join(cut.read_text().splitlines(True)[:-1]))
+    other = next((base / "ym=202502").glob("*.csv"))
+    other.write_text(other.read_text().replace("26", "27"))  # as many bytes
+    for file in (base / "ym=202503").iterdir():
+        file.unlink()
+    (base / "ym=209901").mkdir()
+    (base / "ym=209901" / "x.csv").write_text("STOPS_ID,CNT\n1,2\n")
+    for crc in base.glob("ym=*/.*.crc"):
+        crc.unlink()
+    states = rows(pages.reconciled(spark, path).where("ym is not null"), "ym", "state")
+    assert states == [("202501", "altered"), ("202502", "as logged"), ("202503", "gone"), ("202504", "as logged"), ("209901", "not logged")]
+    damaged = rows(pages.damaged_months(spark, path, columns), "ym", "n_rows", "n_found")
+    assert damaged == [("202501", 2, 1), ("202502", 2, 2), ("202503", 2, 0)]
+
+
+def test_services_without_a_list_are_undeclared(spark, tmp_path):
+    path = str(tmp_path / "landed")
+    other = ("Other", "202501", 1, 1000, json.dumps({"Other": body(2, 2)[SERVICE]}))
+    status = pages.land(spark.createDataFrame([page("202501", 1, body(2, 2)), other], LANDED_PAGE), path, {SERVICE: ["STOPS_ID", "CNT"]})
+    assert rows(status, "service", "status") == [(SERVICE, "complete"), ("Other", "undeclared")]
+    assert rows(pages.landing_log(spark, path), "service", "status", "n_files") == [(SERVICE, "complete", 1), ("Other", "undeclared", None)]
+    with pytest.raises(ValueError, match="Nameless"):
+        pages.land(spark.createDataFrame([page("202502", 1, body(2, 2))], LANDED_PAGE), path, {SERVICE: ["STOPS_ID", "CNT"], "Nameless": ["A"]})
+    assert rows(pages.landing_log(spark, path).select("ym").distinct()) == [("202501",)]  # nothing was written

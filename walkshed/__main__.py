@@ -55,7 +55,7 @@ def main(argv: list[str] | None = None) -> None:
     elif args.command == "status":
         pages.month_status(pages.scan_pages(spark, args.pages), json.loads(args.columns)).show(1000, False)
     elif args.command == "sizes":
-        pages.landed_sizes(spark, args.landed).show(1000, False)
+        pages.reconciled(spark, args.landed).orderBy("dataset", "ym").show(1000, False)
     else:
         with jobs.load_study(
             spark, args.rail, args.bus, args.stations, args.stops, first_ym=args.first_ym, last_ym=args.last_ym

@@ -99,6 +99,7 @@ def month_status(pages: DataFrame, columns: Mapping[str, Sequence[str]] | None =
     """One row per service and month, from the latest good page of each range.
 
     ``failed``: a page reports an error or has no body, so the month is not landed.
+    ``undeclared``: the service has no list in ``columns``; not landed.
     ``changed``: records have keys that are not among the service's ``columns``; not landed, as
     these values would be lost. ``empty``: no rows, nothing to land. ``incomplete``: fewer
     rows than announced, ``excess``: more; both are landed, but flagged. ``complete`` otherwise.
@@ -111,6 +112,7 @@ def _month_status(latest: DataFrame, columns: Mapping[str, Sequence[str]] | None
     rows = F.coalesce(F.size("body.row"), F.lit(0))
     n_rows = F.when(rows > 0, rows).otherwise(0).cast("bigint")
     undeclared = F.lit(0)
+    declared = F.lit(True) if columns is None else F.coalesce(F.col("service").isin(list(columns)), F.lit(False))
     for service, names in (columns or {}).items():
         keys = F.flatten(F.transform("body.row", lambda r: F.map_keys(r)))
         others = F.size(F.array_except(keys, F.array(*map(F.lit, names))))
@@ -131,6 +133,7 @@ def _month_status(latest: DataFrame, columns: Mapping[str, Sequence[str]] | None
         .withColumn(
             "status",
             F.when(F.col("n_failed_pages") > 0, "failed")
+            .when(~declared, "undeclared")
             .when(F.col("n_undeclared_keys") > 0, "changed")
             .when(F.col("n_rows") == 0, "empty")
             .when(F.col("n_rows") > F.col("list_total_count"), "excess")
@@ -140,6 +143,35 @@ def _month_status(latest: DataFrame, columns: Mapping[str, Sequence[str]] | None
     )
 
 
+#: What has been landed, one row per month and attempt.
+LOG_FOLDER = "_landing_log"
+LANDING_LOG = (
+    "service string, dataset string, ym string, attempt bigint, status string, n_pages bigint, n_rows bigint,"
+    " checksum decimal(38,0), n_files bigint, n_bytes bigint, landed_at timestamp"
+)
+
+
+def _checksum(columns: Sequence[str]) -> Column:
+    """A sum over records that does not depend on their order; null and empty cells are one to a CSV file."""
+    cells = [F.coalesce(F.col(f"`{c}`"), F.lit("")) for c in columns]
+    return F.sum(F.xxhash64(*cells).cast("decimal(38,0)"))
+
+
+def landing_log(spark: SparkSession, path: str) -> DataFrame:
+    """All attempts to land a month under ``path``; none if nothing was landed yet."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{LOG_FOLDER}")
+    if not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
+        return spark.createDataFrame([], LANDING_LOG)
+    return spark.read.schema(LANDING_LOG).parquet(f"{path}/{LOG_FOLDER}")
+
+
+def landed_months(spark: SparkSession, path: str) -> DataFrame:
+    """The last attempt that landed each service's month: what the files of the month should hold."""
+    landed = landing_log(spark, path).where(F.col("n_files").isNotNull())
+    row = F.struct("attempt", *[c for c in landed.columns if c not in ("service", "ym", "attempt")])
+    return landed.groupBy("service", "ym").agg(F.max(row).alias("r")).select("service", "ym", "r.*")
+
+
 def land(
     pages: DataFrame,
     path: str,
@@ -148,19 +180,25 @@ def land(
 ) -> DataFrame:
     """Write the records of every landable month as CSV under ``path/<dataset>/ym=<month>``.
 
-    ``columns`` gives each service's column list. A failed or changed month is left out and does
-    not stop the others; months already landed are replaced only if they are in ``pages``.
-    Pages are parsed once and staged. Returns the month status table.
+    ``columns`` gives each service's column list. A failed, changed or undeclared month is left out and
+    does not stop the others; months already landed are replaced only if they are in ``pages``. Pages are
+    parsed once and staged. After the files, every month of ``pages`` gets a row in the log, with what it should hold;
+    a run that ends before leaves the log as it was. Returns the month status table.
     """
+    missing = sorted(set(columns) - set(datasets))
+    if missing:
+        raise ValueError(f"no dataset named for {', '.join(missing)}")
+    spark = pages.sparkSession
     latest = stage_table(latest_pages(pages), "pages")
     status = stage_table(_month_status(latest, columns), "month-status")
     landable = status.where(F.col("status").isin("complete", "incomplete", "excess")).select("service", "ym")
     # One row per service and month at most, so the broadcast stays in the kilobytes.
     good = latest.join(F.broadcast(landable), ["service", "ym"], "left_semi")
+    sums = None
     for service, names in columns.items():
+        records = _rows(good.where(F.col("service") == service), names)
         (
-            _rows(good.where(F.col("service") == service), names)
-            .drop("service")
+            records.drop("service")
             .withColumnRenamed("page_ym", "ym")
             .hint("rebalance", "ym")
             .write.mode("overwrite")
@@ -170,36 +208,100 @@ def land(
             .partitionBy("ym")
             .csv(f"{path}/{datasets[service]}")
         )
+        held = records.groupBy("service", F.col("page_ym").alias("ym")).agg(F.count("*").alias("n_held"), _checksum(names).alias("checksum"))
+        sums = held if sums is None else sums.unionByName(held)
+    _append_log(spark, path, status, sums, {s: datasets[s] for s in columns})
     return status
 
 
-def landed_sizes(spark: SparkSession, path: str) -> DataFrame:
-    """Landed files and megabytes per dataset and month, with a total. Reads file sizes only."""
+def _append_log(spark: SparkSession, path: str, status: DataFrame, sums: DataFrame | None, datasets: Mapping[str, str]) -> None:
+    """One more attempt of each month of ``status``. All tables have a row per service and month."""
+    before = landing_log(spark, path).groupBy("service", "ym").agg(F.max("attempt").alias("last"))
+    of = F.lit(None).cast("string")
+    for service, dataset in datasets.items():
+        of = F.when(F.col("service") == service, dataset).otherwise(of)
+    log = status.withColumn("dataset", of).join(before, ["service", "ym"], "left")
+    if sums is None:
+        log = log.withColumns({"checksum": F.lit(None), "n_files": F.lit(None), "n_bytes": F.lit(None)})
+    else:
+        log = log.join(sums, ["service", "ym"], "left").join(_landed_files(spark, path), ["dataset", "ym"], "left")
+        log = log.withColumns({c: F.when(F.col("n_held").isNotNull(), F.col(c)) for c in ("checksum", "n_files", "n_bytes")})
+    log = log.withColumns({"attempt": F.coalesce("last", F.lit(0)) + 1, "landed_at": F.current_timestamp()})
+    typed = [part.strip().split(" ") for part in LANDING_LOG.replace("(38,0)", "(38;0)").split(",")]
+    out = log.select(*[F.col(name).cast(kind.replace(";", ",")).alias(name) for name, kind in typed])
+    # Staged first, as the log that is read is also written.
+    stage_table(out, "landing-log").coalesce(1).write.mode("append").parquet(f"{path}/{LOG_FOLDER}")
+
+
+def _landed_files(spark: SparkSession, path: str) -> DataFrame:
+    """(dataset, ym, n_files, n_bytes) from the names and sizes of the landed files."""
     files = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", "*.csv")
         .load(path)
-        .select("path", "length")
-    )
-    return (
-        files.select(
+        .select(
             F.regexp_extract("path", r"/([^/]+)/ym=[^/]+/[^/]+$", 1).alias("dataset"),
             F.regexp_extract("path", r"/ym=([^/]+)/[^/]+$", 1).alias("ym"),
             "length",
         )
-        .rollup("dataset", "ym")
-        .agg(
-            F.count("*").alias("n_files"),
-            (F.sum("length") / F.lit(float(MB))).alias("mb"),
-            F.grouping_id().alias("_level"),
-        )
-        .where(F.col("_level").isin(0, 3))
-        .select(
-            F.coalesce("dataset", F.lit("total")).alias("dataset"),
-            "ym",
-            "n_files",
-            "mb",
+    )
+    return files.groupBy("dataset", "ym").agg(F.count("*").alias("n_files"), F.sum("length").alias("n_bytes"))
+
+
+def reconciled(spark: SparkSession, path: str) -> DataFrame:
+    """Landed months against the log: (dataset, ym, n_rows, n_files, mb, state), with a total.
+
+    ``state``: ``as logged`` if the folder has the files and bytes of the log, ``altered`` if not, ``gone`` if
+    it has none, ``not logged`` for a folder that no attempt has landed. Reads file sizes only.
+    """
+    log = landed_months(spark, path).select(
+        F.col("dataset").alias("d"), F.col("ym").alias("m"), "n_rows", F.col("n_files").alias("f"), F.col("n_bytes").alias("b")
+    )
+    files = _landed_files(spark, path)
+    both = files.join(log, (F.col("dataset") == F.col("d")) & (F.col("ym") == F.col("m")), "full")
+    state = (
+        F.when(F.col("d").isNull(), "not logged").when(F.col("dataset").isNull(), "gone")
+        .when((F.col("n_files") == F.col("f")) & (F.col("n_bytes") == F.col("b")), "as logged").otherwise("altered")
+    )
+    months = both.select(
+        F.coalesce("dataset", "d").alias("dataset"), F.coalesce("ym", "m").alias("ym"), "n_rows", "n_files", "n_bytes", state.alias("state")
+    )
+    worst = F.when(F.count_if(F.col("state") != "as logged") > 0, "altered").otherwise("as logged")
+    total = months.agg(
+        F.lit("total").alias("dataset"), F.lit(None).cast("string").alias("ym"), F.sum("n_rows").alias("n_rows"), F.sum("n_files").alias("n_files"),
+        F.sum("n_bytes").alias("n_bytes"), worst.alias("state"),
+    )
+    return months.unionByName(total).select("dataset", "ym", "n_rows", "n_files", (F.col("n_bytes") / F.lit(float(MB))).alias("mb"), "state")
+
+
+def damaged_months(spark: SparkSession, path: str, columns: Mapping[str, Sequence[str]]) -> DataFrame:
+    """Landed months whose files, read again, hold other records than the log says: rows and checksum of both."""
+    found = None
+    for service, names in columns.items():
+        log = landed_months(spark, path).where(F.col("service") == service).select(
+            "service", "dataset", "ym", "n_rows", F.col("checksum").alias("logged")
         )
+        first = log.select("dataset").first()
+        if first is None:
+            continue
+        schema = ", ".join([*[f"`{c}` string" for c in names], "ym string"])
+        records = spark.read.schema(schema).option("header", "true").option("encoding", "UTF-8").csv(f"{path}/{first.dataset}")
+        held = records.groupBy("ym").agg(F.count("*").alias("n_found"), _checksum(names).alias("checksum"))
+        wrong = log.join(held, "ym", "left").where(
+            ~(F.col("n_found").eqNullSafe(F.col("n_rows")) & F.col("checksum").eqNullSafe(F.col("logged")))
+        ).select("service", "ym", "n_rows", F.coalesce("n_found", F.lit(0)).alias("n_found"))
+        found = wrong if found is None else found.unionByName(wrong)
+    return found if found is not None else spark.createDataFrame([], "service string, ym string, n_rows bigint, n_found bigint")
+
+
+def landed_sizes(spark: SparkSession, path: str) -> DataFrame:
+    """Landed files and megabytes per dataset and month, with a total. Reads file sizes only."""
+    sizes = _landed_files(spark, path).rollup("dataset", "ym").agg(
+        F.sum("n_files").alias("n_files"), (F.sum("n_bytes") / F.lit(float(MB))).alias("mb"), F.grouping_id().alias("_level")
+    )
+    return (
+        sizes.where(F.col("_level").isin(0, 3))
+        .select(F.coalesce("dataset", F.lit("total")).alias("dataset"), "ym", "n_files", "mb")
         .orderBy(F.col("dataset") == "total", "dataset", "ym")
     )

@@ -8,68 +8,80 @@ from collections.abc import Iterator, Sequence
 from functools import reduce
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, DataFrameReader, Row, SparkSession
+from pyarrow import fs
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from walkshed.schema import STATION_MASTER, STOP_MASTER
 
 _FOLDER = r"^(.*)/[^/]*$"
-READ_ON_BYTES = 32 * 1024 * 1024
+#: Bytes of a file read at a time until its first line ends.
+HEADER_BYTES = 16 * 1024
+#: Files whose first lines one task reads.
+FILES_PER_TASK = 256
 
 
 def _reader(spark: SparkSession) -> DataFrameReader:
     return spark.read.option("header", "true").option("encoding", "UTF-8")
 
 
-def _first_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The first row of a task's input.
+def first_line(path: str) -> tuple[str | None, int]:
+    """The first line of a file, None if it is empty, and the bytes read for it.
 
-    A small file is read to its end, as Spark then keeps the Python worker for the next task; a
-    large one is left, which costs a worker but spares reading it twice.
+    Opens what pyarrow can open, compressed files too; raises for other stores.
     """
-    seen = 0
-    for batch in batches:
-        if not seen and batch.num_rows:
-            yield batch.slice(0, 1)
-        seen += batch.nbytes
-        if seen > READ_ON_BYTES:
-            return
-
-
-def _header_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """``folder, file, header`` of every file that is not empty. To be run by ``_one_file_a_task``."""
-    lines = (
-        spark.read.option("recursiveFileLookup", "true")
-        .text(path)
-        .select(F.col("value").alias("header"), F.col("_metadata.file_path").alias("file"))
-    )
-    # The path comes as a URL; a plus sign in it means itself.
-    file = F.url_decode(F.replace("file", F.lit("+"), F.lit("%2B")))
-    return lines.mapInArrow(_first_rows, lines.schema).select(
-        F.regexp_extract(file, _FOLDER, 1).alias("folder"), file.alias("file"), "header"
+    # URLs of local files come with one slash; pyarrow wants none or three.
+    filesystem, inner = fs.FileSystem.from_uri(re.sub(r"^file:/+", "/", path))
+    with filesystem.open_input_stream(inner, compression="detect", buffer_size=None) as stream:
+        held, n_bytes = b"", 0
+        while b"\n" not in held:
+            more = stream.read(HEADER_BYTES)
+            if not more:
+                break
+            held += more
+            n_bytes += len(more)
+    return (held.split(b"\n", 1)[0].removesuffix(b"\r").decode("utf-8", "replace") if held else None), n_bytes
+
+
+def _listing(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """(file, length) of all files under ``path``. Lists names, reads no content."""
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    return found.select(F.col("path").alias("file"), "length")
+
+
+def header_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """(folder, file, header, n_bytes) of every file that is not empty.
+
+    A task opens its files one by one and reads each to the end of its first line, so the bytes read
+    grow with the number of files, not with their size. A file in a store that only Spark's readers
+    can open has no header here and ``n_bytes`` null.
+    """
+    files = _listing(spark, path).where("length > 0")
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, batch.num_rows, FILES_PER_TASK):
+                part, found = batch.slice(start, FILES_PER_TASK), []
+                for file in part.column(0).to_pylist():
+                    try:
+                        found.append(first_line(file))
+                    except (OSError, ValueError, NotImplementedError):
+                        found.append((None, None))
+                headers, sizes = zip(*found)
+                arrays = [part.column(0), pa.array(headers, pa.string()), pa.array(sizes, pa.int64())]
+                yield pa.RecordBatch.from_arrays(arrays, names=["file", "header", "n_bytes"])
+
+    lines = files.select("file").mapInArrow(read, "file string, header string, n_bytes bigint")
+    return lines.where("header is not null or n_bytes is null").select(
+        F.regexp_extract("file", _FOLDER, 1).alias("folder"), "file", "header", "n_bytes"
     )
 
 
-def _one_file_a_task(df: DataFrame) -> list[Row]:
-    """Collect ``df`` with every file in a task of its own, so that a task sees one header."""
-    conf = df.sparkSession.conf
-    sizes = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
-    before = {key: conf.get(key) for key in sizes}
-    try:
-        for key in sizes:
-            conf.set(key, str(1 << 40))
-        return df.collect()
-    finally:
-        for key, value in before.items():
-            conf.set(key, value)
-
-
 def _one_of_each_folder(spark: SparkSession, path: str | list[str]) -> list[str]:
     """One file of each folder. Lists names, reads no content."""
-    listing = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    per_folder = listing.groupBy(F.regexp_extract("path", _FOLDER, 1)).agg(F.min("path").alias("path"))
-    return [row.path for row in per_folder.collect()]
+    per_folder = _listing(spark, path).where("length > 0").groupBy(F.regexp_extract("file", _FOLDER, 1)).agg(F.min("file").alias("file"))
+    return [row.file for row in per_folder.collect()]
 
 
 def scan_wide(
@@ -82,7 +94,7 @@ def scan_wide(
     scans are united by name; a column some files lack is NULL there. Headers are
     checked again while reading, so a differing file fails rather than being misread.
 
-    One distributed job reads the first line of every file, and the driver gets the distinct
+    One distributed job reads the first line of every file and no more, and the driver gets the distinct
     headers of each folder. Where all agree, the scan is of ``path`` itself; else of folders, and
     of single files only in folders whose files differ and for patterns with wildcards.
 
@@ -93,8 +105,10 @@ def scan_wide(
         raise ValueError("one_header_per is 'file' or 'folder'")
     by_folder = one_header_per == "folder"
     sample = _one_of_each_folder(spark, path) if by_folder else path
-    lines = _header_lines(spark, sample) if sample else None
-    found = lines and _one_file_a_task(lines.groupBy("folder", "header").agg(F.min("file").alias("file")))
+    lines = header_lines(spark, sample) if sample else None
+    # Files without a header here are told apart by their name.
+    known = lines and lines.withColumn("header", F.coalesce("header", F.concat(F.lit("\n"), "file")))
+    found = known and known.groupBy("folder", "header").agg(F.min("file").alias("file")).collect()
     if not found:
         raise FileNotFoundError(f"no raw files under {path}")
     example = {row.header: row.file for row in found}
@@ -115,7 +129,7 @@ def scan_wide(
             if row.folder not in single:
                 by_columns[columns[row.header]].append(row.folder)
         if single:
-            for row in _one_file_a_task(lines.where(F.col("folder").isin(single))):
+            for row in known.where(F.col("folder").isin(single)).collect():
                 by_columns[columns[row.header]].append(row.file)
     scans = [
         _reader(spark)
