@@ -16,6 +16,7 @@ from walkshed.schema import LANDED_PAGE, RAIL, STATION_MASTER, STOP_MASTER
 from walkshed.sources import pages, raw_csv
 from walkshed.sources.hourly import read_hourly, write_hourly
 from walkshed.sources.raw_csv import HEADER_BYTES, header_lines, scan_stop_master, scan_station_master, scan_wide
+from walkshed.streaming import landing
 from walkshed.streaming.landing import land_new_pages
 
 
@@ -360,3 +361,63 @@ def test_services_without_a_list_are_undeclared(spark, tmp_path):
     with pytest.raises(ValueError, match="Nameless"):
         pages.land(spark.createDataFrame([page("202502", 1, body(2, 2))], LANDED_PAGE), path, {SERVICE: ["STOPS_ID", "CNT"], "Nameless": ["A"]})
     assert rows(pages.landing_log(spark, path).select("ym").distinct()) == [("202501",)]  # nothing was written
+
+
+def arrive(folder, name, *pages_, extra=""):
+    folder.mkdir(exist_ok=True)
+    lines = [json.dumps(dict(zip(LANDED_PAGE.fieldNames(), p))) for p in pages_]
+    (folder / name).write_text("".join(f"{line}\n" for line in lines) + extra)
+
+
+def run_stream(spark, tmp_path):
+    args = (str(tmp_path / "pages"), str(tmp_path / "landed"), {SERVICE: ["STOPS_ID", "CNT"]}, str(tmp_path / "checkpoint"))
+    land_new_pages(spark, *args).awaitTermination()
+
+
+def landed_rows(spark, tmp_path):
+    found = scan_wide(spark, str(tmp_path / "landed"), one_header_per="folder")
+    log = pages.landed_months(spark, str(tmp_path / "landed"))
+    return found.count(), rows(log, "ym", "attempt", "n_rows", "status")
+
+
+def test_a_run_reads_the_folders_of_its_months_alone(spark, tmp_path):
+    arrive(tmp_path / "pages", "a.json", page("202501", 1, body(2, 3)), page("202502", 1, body(2, 2)))
+    run_stream(spark, tmp_path)
+    assert landed_rows(spark, tmp_path) == (4, [("202501", 1, 2, "incomplete"), ("202502", 1, 2, "complete")])
+    run_stream(spark, tmp_path)  # nothing new: nothing is landed again
+    assert landed_rows(spark, tmp_path)[1][0][1] == 1
+    (tmp_path / "pages" / "a.json").write_text("the pages of earlier runs are not read again")
+    for file in (tmp_path / "checkpoint" / "pages").glob("service=*/ym=202502/*/*.parquet"):
+        file.write_text("nor are those of other months")
+    for crc in (tmp_path / "checkpoint" / "pages").glob("service=*/ym=202502/*/.*.crc"):
+        crc.unlink()
+    arrive(tmp_path / "pages", "b.json", page("202501", 1001, body(1, 3, first=2)))
+    run_stream(spark, tmp_path)
+    assert landed_rows(spark, tmp_path) == (5, [("202501", 2, 3, "complete"), ("202502", 1, 2, "complete")])
+
+
+def test_a_batch_lost_before_its_end_is_run_again(spark, tmp_path, monkeypatch):
+    arrive(tmp_path / "pages", "a.json", page("202501", 1, body(2, 2)))
+    with monkeypatch.context() as broken:
+        def lost(*args):
+            raise RuntimeError("executor lost")
+
+        broken.setattr(landing, "land", lost)
+        with pytest.raises(Exception, match="executor lost"):
+            run_stream(spark, tmp_path)
+    run_stream(spark, tmp_path)
+    assert landed_rows(spark, tmp_path) == (2, [("202501", 1, 2, "complete")])
+    assert landing.known_pages(spark, str(tmp_path / "checkpoint")).count() == 1  # written twice, there once
+
+
+def test_damaged_lines_are_set_aside(spark, tmp_path):
+    whole = json.dumps(dict(zip(LANDED_PAGE.fieldNames(), page("202502", 1, body(2, 2)))))
+    arrive(tmp_path / "pages", "a.json", page("202501", 1, body(2, 2)), extra=whole[:40] + "\n" + '{"page_start": 1}\n')
+    path = str(tmp_path / "pages")
+    assert rows(pages.scan_pages(spark, path), "ym") == [("202501",)]
+    bad = pages.damaged_lines(spark, path)
+    assert {r.line for r in bad.collect()} == {whole[:40], '{"page_start":1}'}
+    assert [r["count"] for r in bad.groupBy("file").count().collect()] == [2]
+    run_stream(spark, tmp_path)
+    assert landed_rows(spark, tmp_path) == (2, [("202501", 1, 2, "complete")])
+    assert spark.read.parquet(str(tmp_path / "checkpoint" / "damaged")).count() == 2

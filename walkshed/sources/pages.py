@@ -8,8 +8,10 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.streaming import DataStreamReader
 
 from walkshed.schema import LANDED_PAGE, PAGE_BODY, SERVICE_DATASETS
 from walkshed.session import stage_table
@@ -17,10 +19,40 @@ from walkshed.session import stage_table
 MB = 1024 * 1024
 
 
+#: Where Spark puts a line that is no page.
+DAMAGED = "_damaged"
+_LINES = T.StructType([*LANDED_PAGE.fields, T.StructField(DAMAGED, T.StringType())])
+
+
+def page_lines(reader: DataFrameReader | DataStreamReader, path: str | list[str]) -> DataFrame:
+    """Every line under ``path``: the columns of a page, ``_damaged`` with the text of a line that is none, file and time."""
+    lines = reader.schema(_LINES).option("columnNameOfCorruptRecord", DAMAGED).json(path)
+    return lines.withColumns(
+        {"fetched_at": F.col("_metadata.file_modification_time"), "file": F.col("_metadata.file_path"), "at": F.col("_metadata.file_block_start")}
+    )
+
+
+def is_page() -> Column:
+    """A line with a service and a month; one without belongs to no month and is set aside too."""
+    return F.col(DAMAGED).isNull() & F.col("service").isNotNull() & F.col("ym").isNotNull()
+
+
 def scan_pages(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Landed pages stored as JSON lines, with the time their file was written as ``fetched_at``."""
-    pages = spark.read.schema(LANDED_PAGE).json(path)
-    return pages.withColumn("fetched_at", F.col("_metadata.file_modification_time"))
+    """Landed pages stored as JSON lines, with the time their file was written as ``fetched_at``.
+
+    Lines that are no pages are left out; see ``damaged_lines``.
+    """
+    return page_lines(spark.read, path).where(is_page()).drop(DAMAGED, "file", "at")
+
+
+def damaged_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """(file, at, line): lines that are no pages, with the start of the split of the file they are in."""
+    return set_aside(page_lines(spark.read, path))
+
+
+def set_aside(lines: DataFrame) -> DataFrame:
+    fields = F.to_json(F.struct(*LANDED_PAGE.fieldNames()))
+    return lines.where(~is_page()).select("file", "at", F.coalesce(DAMAGED, fields).alias("line"))
 
 
 def _with_body(pages: DataFrame) -> DataFrame:
