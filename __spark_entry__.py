@@ -26,7 +26,7 @@ from walkshed.operators import reshape
 from walkshed.plans import analysis, audit, charts, places, study as studies, views, zones
 from walkshed.schema import BUS, RAIL, SERVICE_DATASETS
 from walkshed.session import new_folder
-from walkshed.sources import hourly, pages, raw_csv
+from walkshed.sources import bucketed, hourly, pages, raw_csv
 
 Query = Callable[[SparkSession, str], DataFrame]
 DIGITS = 6
@@ -105,6 +105,15 @@ def _roundtrip_bus(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _bus_by_stop_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sums per stop from a bucketed version of the hourly table, without a shuffle."""
+    path = new_folder(spark, "hourly-versions")
+    bucketed.write_version(reshape.packed_records(testdata.bus_wide(spark, sf_dir), BUS), path, BUS, buckets=8)
+    return bucketed.read_version(spark, path, BUS).groupBy("stop_id").agg(
+        F.count("*").alias("n_rows"), F.sum("on_cnt").alias("on_cnt"), F.sum("off_cnt").alias("off_cnt")
+    )
+
+
 PAGE_COLUMNS = {
     testdata.RAIL_SERVICE: testdata.RAIL_COLUMNS,
     testdata.BUS_SERVICE: testdata.BUS_COLUMNS,
@@ -156,6 +165,7 @@ def _sources() -> dict[str, Query]:
         "scan_rail_coord": _scan_master(testdata.station_master, raw_csv.scan_station_master),
         "hourly_roundtrip": _roundtrip_rail,
         "hourly_roundtrip_bus": _roundtrip_bus,
+        "bus_by_stop_bucketed": _bus_by_stop_bucketed,
         "page_status": lambda spark, d: pages.page_status(testdata.pages(spark, d)),
         "page_rows": _page_rows(testdata.BUS_SERVICE),
         "page_rows_rail": _page_rows(testdata.RAIL_SERVICE),

@@ -307,6 +307,7 @@ PLAIN: dict[str, str] = {
     "derive_period": "SELECT ym, CAST(CAST(ym AS INT) // 100 AS INT) AS year, CAST(CAST(ym AS INT) % 100 AS INT) AS month, COUNT(*) AS n_rows FROM rail_hourly GROUP BY 1,2,3",
     "hourly_roundtrip": "SELECT year, month, ym, line, station, job_ymd, hr, on_cnt, off_cnt FROM rail_long",
     "hourly_roundtrip_bus": "SELECT year, month, hr, COUNT(*) AS n_rows, COUNT(DISTINCT stop_id) AS n_stops, CAST(SUM(on_cnt) AS BIGINT) AS on_cnt, CAST(SUM(off_cnt) AS BIGINT) AS off_cnt FROM bus_long GROUP BY 1,2,3",
+    "bus_by_stop_bucketed": "SELECT stop_id, COUNT(*) AS n_rows, CAST(SUM(on_cnt) AS BIGINT) AS on_cnt, CAST(SUM(off_cnt) AS BIGINT) AS off_cnt FROM bus_long GROUP BY 1",
     "page_status": "SELECT * FROM page",
     "page_rows": f"SELECT * EXCLUDE (page, total, last_page) FROM bus_paged WHERE page_ym NOT IN {FAULTY}",
     "page_rows_rail": f"SELECT * EXCLUDE (page, total, last_page) FROM rail_paged WHERE page_ym NOT IN {FAULTY}",
