@@ -23,10 +23,10 @@ from oracle_queries import oracle_queries
 from walkshed import testdata
 from walkshed.functions.geo import great_circle_km
 from walkshed.operators import reshape
-from walkshed.plans import analysis, audit, charts, places, study as studies, views, zones
+from walkshed.plans import analysis, audit, charts, places, quantiles, study as studies, views, zones
 from walkshed.schema import BUS, RAIL, SERVICE_DATASETS
 from walkshed.session import new_folder
-from walkshed.sources import bucketed, hourly, pages, raw_csv
+from walkshed.sources import bucketed, hourly, month_sums, pages, raw_csv
 
 Query = Callable[[SparkSession, str], DataFrame]
 DIGITS = 6
@@ -114,6 +114,28 @@ def _bus_by_stop_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _kept_bus_sums(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sums kept by month, first of the older months, then of those that came and changed since."""
+    path, kept = new_folder(spark, "hourly-bus"), new_folder(spark, "kept-bus")
+    wide = testdata.bus_wide(spark, sf_dir)
+    older = F.col("USE_YM") < "199801"
+    hourly.write_hourly(reshape.packed_records(wide.where(older), BUS), path, BUS)
+    month_sums.refresh(spark, path, kept, BUS)
+    hourly.write_hourly(reshape.packed_records(wide.where(~older), BUS), path, BUS, only_given_months=True)
+    month_sums.refresh(spark, path, kept, BUS)
+    ym = F.col("ym").cast("int")
+    return (
+        month_sums.read_sums(spark, kept, BUS)
+        .groupBy(F.floor(ym / 100).cast("int").alias("year"), (ym % 100).alias("month"), "hr")
+        .agg(
+            F.sum("n_rows").alias("n_rows"),
+            F.count("*").alias("n_stops"),
+            F.sum("on_cnt").alias("on_cnt"),
+            F.sum("off_cnt").alias("off_cnt"),
+        )
+    )
+
+
 PAGE_COLUMNS = {
     testdata.RAIL_SERVICE: testdata.RAIL_COLUMNS,
     testdata.BUS_SERVICE: testdata.BUS_COLUMNS,
@@ -166,6 +188,7 @@ def _sources() -> dict[str, Query]:
         "hourly_roundtrip": _roundtrip_rail,
         "hourly_roundtrip_bus": _roundtrip_bus,
         "bus_by_stop_bucketed": _bus_by_stop_bucketed,
+        "bus_month_sums": _kept_bus_sums,
         "page_status": lambda spark, d: pages.page_status(testdata.pages(spark, d)),
         "page_rows": _page_rows(testdata.BUS_SERVICE),
         "page_rows_rail": _page_rows(testdata.RAIL_SERVICE),
@@ -317,6 +340,8 @@ def _per_radius() -> dict[str, Callable]:
         "share_month_{r}": partial(analysis.share_month, digits=DIGITS),
         "share_hour_{r}": partial(analysis.share_hour, digits=DIGITS),
         "peak_bus_{r}": partial(analysis.peak_bus, digits=DIGITS),
+        "zone_month_{r}": lambda s, r: _rounded(quantiles.zone_stats_by_month(s, r), DIGITS, share),
+        "share_quantiles_year_{r}": partial(quantiles.share_quantiles_by_year, digits=DIGITS),
         "top_stops_{r}": lambda s, r: analysis.top_stops(s, r[0]),
     }
 

@@ -248,6 +248,12 @@ TABLES["month_state"] = """
 TABLES["bus_near"] = "SELECT p.radius_m, b.* FROM bus_geo b JOIN (SELECT DISTINCT radius_m, stop_id FROM pairs) p ON b.stop_id = p.stop_id"
 for once in ("month_share", "hour_share", "peak_bus"):
     TABLES[f"{once}_once"] = TABLES[once].replace("bus_in_zone", "bus_near")
+TABLES["zone_month"] = """
+    SELECT b.radius_m, b.ym, b.station, b.line, r.rail_total, b.bus_total, b.n_stops,
+           100e0*CAST(r.rail_total AS DOUBLE)/CAST(nullif(r.rail_total+b.bus_total, 0) AS DOUBLE) AS share
+    FROM (SELECT ym, station, line, CAST(SUM(on_cnt+off_cnt) AS BIGINT) AS rail_total FROM rail_geo GROUP BY 1,2,3) r
+    JOIN (SELECT radius_m, ym, station, line, CAST(SUM(on_cnt+off_cnt) AS BIGINT) AS bus_total, COUNT(DISTINCT stop_id) AS n_stops
+          FROM bus_in_zone GROUP BY 1,2,3,4) b ON r.ym = b.ym AND r.station = b.station AND r.line = b.line"""
 TABLES["circle"] = """
     SELECT c.radius_m, b.stop_id, r.station, r.line,
            2e0*6371e0*asin(sqrt(power(sin(radians(r.sta_lat-b.stop_lat)/2e0),2e0)
@@ -307,6 +313,7 @@ PLAIN: dict[str, str] = {
     "derive_period": "SELECT ym, CAST(CAST(ym AS INT) // 100 AS INT) AS year, CAST(CAST(ym AS INT) % 100 AS INT) AS month, COUNT(*) AS n_rows FROM rail_hourly GROUP BY 1,2,3",
     "hourly_roundtrip": "SELECT year, month, ym, line, station, job_ymd, hr, on_cnt, off_cnt FROM rail_long",
     "hourly_roundtrip_bus": "SELECT year, month, hr, COUNT(*) AS n_rows, COUNT(DISTINCT stop_id) AS n_stops, CAST(SUM(on_cnt) AS BIGINT) AS on_cnt, CAST(SUM(off_cnt) AS BIGINT) AS off_cnt FROM bus_long GROUP BY 1,2,3",
+    "bus_month_sums": "SELECT year, month, hr, CAST(SUM(n) AS BIGINT) AS n_rows, COUNT(*) AS n_stops, CAST(SUM(on_cnt) AS BIGINT) AS on_cnt, CAST(SUM(off_cnt) AS BIGINT) AS off_cnt FROM (SELECT year, month, hr, stop_id, COUNT(*) AS n, SUM(on_cnt) AS on_cnt, SUM(off_cnt) AS off_cnt FROM bus_long GROUP BY 1,2,3,4) t GROUP BY 1,2,3",
     "bus_by_stop_bucketed": "SELECT stop_id, COUNT(*) AS n_rows, CAST(SUM(on_cnt) AS BIGINT) AS on_cnt, CAST(SUM(off_cnt) AS BIGINT) AS off_cnt FROM bus_long GROUP BY 1",
     "page_status": "SELECT * FROM page",
     "page_rows": f"SELECT * EXCLUDE (page, total, last_page) FROM bus_paged WHERE page_ym NOT IN {FAULTY}",
@@ -400,6 +407,12 @@ PER_RADIUS: dict[str, str] = {
     "share_month_{r}": f"SELECT ym, rail_trips, bus_trips, {both_in_millions()}, share FROM month_share WHERE radius_m = {{r}}",
     "share_hour_{r}": f"SELECT hr, rail_trips, bus_trips, {both_in_millions()}, share FROM hour_share WHERE radius_m = {{r}}",
     "peak_bus_{r}": "SELECT peak_trips, all_trips, peak_pct FROM peak_bus WHERE radius_m = {r}",
+    "zone_month_{r}": "SELECT ym, station, line, rail_total, bus_total, n_stops, round(share, 6) AS rail_share_pct FROM zone_month WHERE radius_m = {r}",
+    "share_quantiles_year_{r}": """SELECT year, CAST(MAX(n) AS BIGINT) AS n_zones, """
+    + ", ".join(f"round(MIN(CASE WHEN nth >= ceil(n * {q}) THEN share END), 6) AS {name}" for name, q in (("p25", 0.25), ("median", 0.5), ("p75", 0.75)))
+    + """ FROM (SELECT CAST(substr(ym, 1, 4) AS INT) AS year, share, COUNT(*) OVER (PARTITION BY substr(ym, 1, 4)) AS n,
+               row_number() OVER (PARTITION BY substr(ym, 1, 4) ORDER BY share) AS nth
+          FROM zone_month WHERE radius_m = {r} AND share IS NOT NULL) t GROUP BY 1""",
     "top_stops_{r}": f"SELECT r.stop_id, r.stop_name, r.n_zones, b.bus_total AS stop_trips, r.total_trips, {in_millions('r.total_trips', 2)} AS total_m FROM stop_ranking r JOIN bus_total b ON r.stop_id = b.stop_id WHERE r.radius_m = {{r}} ORDER BY r.total_trips DESC, r.stop_id LIMIT 20",
 }
 

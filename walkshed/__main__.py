@@ -34,6 +34,7 @@ def main(argv: list[str] | None = None) -> None:
     rep.add_argument("--bus", required=True, help="hourly bus table")
     rep.add_argument("--stations", required=True, help="station coordinates")
     rep.add_argument("--stops", required=True, help="stop coordinates")
+    rep.add_argument("--kept", help="folder of sums kept by month; only changed months are read")
     rep.add_argument("--first-ym", type=int)
     rep.add_argument("--last-ym", type=int)
     lan = commands.add_parser("land", help="landed pages to monthly CSV; prints the status of every month")
@@ -56,6 +57,11 @@ def main(argv: list[str] | None = None) -> None:
         pages.month_status(pages.scan_pages(spark, args.pages), json.loads(args.columns)).show(1000, False)
     elif args.command == "sizes":
         pages.reconciled(spark, args.landed).orderBy("dataset", "ym").show(1000, False)
+    elif args.kept:
+        if args.first_ym or args.last_ym:
+            parser.error("--kept goes with all months")
+        with jobs.load_kept_study(spark, args.rail, args.bus, args.stations, args.stops, args.kept) as study:
+            jobs.write_report(study, args.target)
     else:
         with jobs.load_study(
             spark, args.rail, args.bus, args.stations, args.stops, first_ym=args.first_ym, last_ym=args.last_ym

@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 
 from walkshed.operators.reshape import dedup_audit, packed_records, standardize
 from walkshed.plans import analysis, audit, charts, zones
-from walkshed.plans.study import Study
+from walkshed.plans.study import KeptSums, Study
 from walkshed.schema import BUS, RADII_M, RAIL, ModeSpec, Settings
+from walkshed.sources import month_sums
 from walkshed.sources.hourly import read_hourly, write_hourly
 from walkshed.sources.raw_csv import scan_station_master, scan_stop_master, scan_wide
 
@@ -73,6 +74,36 @@ def load_study(
     )
 
 
+def load_kept_study(
+    spark: SparkSession,
+    rail: str,
+    bus: str,
+    stations: str,
+    stops: str,
+    kept: str,
+    settings: Settings = Settings(),
+    radii_m: Sequence[int] = RADII_M,
+) -> Study:
+    """A staged study from sums kept by month under ``kept``; of the ridership it reads the months that changed."""
+    for spec, hourly in ((RAIL, rail), (BUS, bus)):
+        month_sums.refresh(spark, hourly, f"{kept}/{spec.name}", spec)
+    sums = KeptSums(
+        month_sums.read_sums(spark, f"{kept}/{RAIL.name}", RAIL),
+        month_sums.read_sums(spark, f"{kept}/{BUS.name}", BUS),
+        month_sums.read_names(spark, f"{kept}/{BUS.name}", BUS),
+    )
+    return Study(
+        read_hourly(spark, rail, RAIL),
+        read_hourly(spark, bus, BUS),
+        scan_station_master(spark, stations),
+        scan_stop_master(spark, stops),
+        settings,
+        True,
+        radii_m,
+        sums,
+    )
+
+
 def report(study: Study) -> Mapping[str, DataFrame]:
     """Every result table of the study, by name, for all its radii."""
     radii = study.radii_m

@@ -47,11 +47,8 @@ def match_rate(study: Study) -> DataFrame:
     """How much of each mode's ridership has coordinates, by rows and by keys."""
     stations = study.stations.select("sta_norm", "line_norm", F.lit(1).alias("found"))
     stops = study.stops.select("stop_id", F.lit(1).alias("found"))
-    rows = F.sum("n_rows").alias("n")
-    rail = study.normalised(study.rail_facts.groupBy("station", "line").agg(rows)).join(
-        stations, ["sta_norm", "line_norm"], "left"
-    )
-    bus = study.bus_facts.groupBy("stop_id").agg(rows).join(stops, "stop_id", "left")
+    rail = study.normalised(study.all_rail(n=F.sum("n_rows"))).join(stations, ["sta_norm", "line_norm"], "left")
+    bus = study.bus_by_stop(n=F.sum("n_rows")).join(stops, "stop_id", "left")
 
     def rates(df: DataFrame, mode: str) -> DataFrame:
         found = F.col("found").isNotNull()
@@ -72,17 +69,20 @@ def match_rate(study: Study) -> DataFrame:
 
 def stage_counts(study: Study) -> DataFrame:
     """Rows of every table between the hourly input and the zones."""
-    rows = F.sum("n_rows").alias("n")
 
     def count(df: DataFrame, stage: str) -> DataFrame:
         return df.agg(F.count("*").alias("n_rows")).select(F.lit(stage).alias("stage"), "n_rows")
 
+    def total(df: DataFrame, stage: str) -> DataFrame:
+        return df.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows")).select(F.lit(stage).alias("stage"), "n_rows")
+
     def both(df: DataFrame, geo: str, total: str) -> DataFrame:
         sums = df.agg(F.coalesce(F.sum("n"), F.lit(0)).alias(geo), F.count("*").alias(total))
         return sums.unpivot([], [geo, total], "stage", "n_rows")
 
     rail = study.rail_by_station(n=F.sum("n_rows"))
-    bus = study.bus_facts.groupBy("stop_id").agg(rows).join(study.stops, "stop_id")
+    every_stop = study.bus_by_stop(n=F.sum("n_rows"))
+    bus = every_stop.join(study.stops, "stop_id")
     reached = bus_in_reach(study, study.radii_m, n=F.sum("n_rows")).join(
         study.station_keys, ["sta_lat", "sta_lon"]
     )
@@ -93,8 +93,8 @@ def stage_counts(study: Study) -> DataFrame:
         F.concat_ws("_", "what", F.col("radius_m").cast("string")).alias("stage"), "n_rows"
     )
     tables = [
-        count(study.rail, "rail_hourly"),
-        count(study.bus, "bus_hourly"),
+        total(study.all_rail(n=F.sum("n_rows")), "rail_hourly"),
+        total(every_stop, "bus_hourly"),
         count(study.station_master, "rail_coord"),
         count(study.stop_master, "bus_coord"),
         both(rail, "rail_geo", "rail_total"),

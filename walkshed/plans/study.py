@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame
@@ -13,6 +14,8 @@ from walkshed.operators.radius import radius_pairs
 from walkshed.schema import RADII_M, Settings
 from walkshed.session import delete_folder, new_folder, stage_table
 
+MEASURES = ("on_cnt", "off_cnt", "n_rows")
+
 
 def has_place(lat: str, lon: str) -> Column:
     return F.col(lat).isNotNull() & F.col(lon).isNotNull() & ~F.isnan(lat) & ~F.isnan(lon)
@@ -60,6 +63,30 @@ def unique_stops(master: DataFrame, ferry_stop_type: str) -> DataFrame:
     )
 
 
+def sums_by_hour_and_month(facts: DataFrame, *place: str) -> DataFrame:
+    """Counts per place and hour over all months, and per place and month over all hours, in one shuffle.
+
+    ``by_month`` tells the two kinds apart; the column summed over is NULL. Sums only: a text
+    among the aggregates would make Spark sort all facts.
+    """
+    return facts.groupingSets([[*place, "hr"], [*place, "ym"]], *place, "hr", "ym").agg(
+        *[F.sum(c).alias(c) for c in MEASURES], F.grouping("hr").cast("int").alias("by_month")
+    )
+
+
+def _counted(hourly: DataFrame) -> DataFrame:
+    return hourly.withColumn("n_rows", F.lit(1).cast("bigint"))
+
+
+@dataclass(frozen=True)
+class KeptSums:
+    """Sums of both modes by place, month and hour with ``n_rows``, and every name of every stop."""
+
+    rail: DataFrame
+    bus: DataFrame
+    stop_names: DataFrame
+
+
 class Study:
     """Hourly tables and coordinate masters of one city, with the tables derived from them.
 
@@ -70,7 +97,8 @@ class Study:
 
     With ``staged=True`` the tables every query starts from are written to the session's
     shared folder on first use and read from there; a session that runs many queries then
-    scans the ridership once.
+    scans the ridership once. ``kept`` has sums by month that an earlier session left
+    (``sources.month_sums``); a staged study then reads these in place of the ridership.
     """
 
     def __init__(
@@ -82,6 +110,7 @@ class Study:
         settings: Settings = Settings(),
         staged: bool = False,
         radii_m: Sequence[int] = RADII_M,
+        kept: KeptSums | None = None,
     ) -> None:
         self.rail = rail
         self.bus = bus
@@ -90,6 +119,7 @@ class Study:
         self.settings = settings
         self.staged = staged
         self.radii_m = tuple(radii_m)
+        self.kept = kept
 
         self._tables: dict[str, DataFrame] = {}
 
@@ -112,10 +142,10 @@ class Study:
     def __exit__(self, *_: object) -> None:
         self.close()
 
-    def shared(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
-        """A table several queries use: built once, and written if the study is staged."""
+    def shared(self, name: str, build: Callable[[], DataFrame], *folders: str) -> DataFrame:
+        """A table several queries use: built once, and written if the study is staged, in ``folders`` by column."""
         if name not in self._tables:
-            self._tables[name] = stage_table(build(), name, self.folder) if self.staged else build()
+            self._tables[name] = stage_table(build(), name, self.folder, folders) if self.staged else build()
         return self._tables[name]
 
     def shared_by_radius(
@@ -146,36 +176,38 @@ class Study:
     @cached_property
     def rail_facts(self) -> DataFrame:
         """Rail counts by station, line, month and hour; ``n_rows`` says how many rows are in one."""
-        if not self.staged:
-            return self.rail.withColumn("n_rows", F.lit(1).cast("bigint"))
-        cube = self.rail.groupBy("station", "line", "ym", "hr").agg(
-            F.sum("on_cnt").alias("on_cnt"),
-            F.sum("off_cnt").alias("off_cnt"),
-            F.count("*").alias("n_rows"),
-        )
-        return stage_table(cube, "rail-facts", self.folder)
+        return _counted(self.rail) if self.kept is None else self.kept.rail
 
     @cached_property
     def bus_facts(self) -> DataFrame:
-        """Bus counts by stop, month and hour over all routes.
+        """Bus counts by stop, month and hour over all routes; ``n_rows`` says how many rows are in one."""
+        return _counted(self.bus) if self.kept is None else self.kept.bus
 
-        Sums only: a text among the aggregates would make Spark sort all facts.
+    @cached_property
+    def rail_sums(self) -> DataFrame:
+        return self.shared("rail-sums", lambda: sums_by_hour_and_month(self.rail_facts, "station", "line"), "by_month")
+
+    @cached_property
+    def bus_sums(self) -> DataFrame:
+        return self.shared("bus-sums", lambda: sums_by_hour_and_month(self.bus_facts, "stop_id"), "by_month")
+
+    def _facts(self, mode: str, dims: Sequence[str], hours: Sequence[int] | None) -> DataFrame:
+        """The smallest table of a mode that has the dimensions asked for.
+
+        Staged studies have two, by hour and by month, from one pass over the facts. Sums by
+        month that tell hours apart go back to the facts.
         """
-        if not self.staged:
-            return self.bus.withColumn("n_rows", F.lit(1).cast("bigint"))
-        cube = self.bus.groupBy("stop_id", "ym", "hr").agg(
-            F.sum("on_cnt").alias("on_cnt"),
-            F.sum("off_cnt").alias("off_cnt"),
-            F.count("*").alias("n_rows"),
-        )
-        return stage_table(cube, "bus-facts", self.folder)
+        if not self.staged or ("ym" in dims and ("hr" in dims or hours is not None)):
+            return self.rail_facts if mode == "rail" else self.bus_facts
+        sums = self.rail_sums if mode == "rail" else self.bus_sums
+        return sums.where(F.col("by_month") == F.lit(int("ym" in dims))).drop("by_month", "hr" if "ym" in dims else "ym")
 
     @cached_property
     def stop_names(self) -> DataFrame:
         """``stop_id, stop_name``: the largest name of each stop, out of its few distinct ones."""
 
         def build() -> DataFrame:
-            names = self.bus.select("stop_id", "stop_name").distinct()
+            names = self.bus.select("stop_id", "stop_name").distinct() if self.kept is None else self.kept.stop_names
             return names.groupBy("stop_id").agg(F.max("stop_name").alias("stop_name"))
 
         return self.shared("stop-names", build)
@@ -186,19 +218,24 @@ class Study:
             "line_norm", renamed(F.col("line"), self.settings.line_renames)
         )
 
+    def all_rail(self, *dims: str, hours: Sequence[int] | None = None, **sums: Column) -> DataFrame:
+        """Rail aggregates per station, line and ``dims``, for located and other stations alike."""
+        facts = self._facts("rail", dims, hours)
+        facts = facts if hours is None else facts.where(F.col("hr").isin(*hours))
+        return facts.groupBy("station", "line", *dims).agg(*[c.alias(k) for k, c in sums.items()])
+
     def rail_by_station(self, *dims: str, hours: Sequence[int] | None = None, **sums: Column) -> DataFrame:
         """Rail aggregates per station, line and ``dims``, with coordinates; unlocated stations drop out."""
-        facts = self.rail_facts if hours is None else self.rail_facts.where(F.col("hr").isin(*hours))
-        per_station = facts.groupBy("station", "line", *dims).agg(*[c.alias(k) for k, c in sums.items()])
         return (
-            self.normalised(per_station)
+            self.normalised(self.all_rail(*dims, hours=hours, **sums))
             .join(self.stations, ["sta_norm", "line_norm"])
             .drop("sta_norm", "line_norm")
         )
 
     def bus_by_stop(self, *dims: str, hours: Sequence[int] | None = None, **sums: Column) -> DataFrame:
         """Bus aggregates per stop and ``dims``, for located and other stops alike."""
-        facts = self.bus_facts if hours is None else self.bus_facts.where(F.col("hr").isin(*hours))
+        facts = self._facts("bus", dims, hours)
+        facts = facts if hours is None else facts.where(F.col("hr").isin(*hours))
         return facts.groupBy("stop_id", *dims).agg(*[c.alias(k) for k, c in sums.items()])
 
     @cached_property
@@ -206,7 +243,7 @@ class Study:
         """Stations with traffic: ``station, line, sta_lat, sta_lon``."""
 
         def build() -> DataFrame:
-            keys = self.normalised(self.rail_facts.select("station", "line").distinct())
+            keys = self.normalised(self._facts("rail", (), None).select("station", "line").distinct())
             return keys.join(self.stations, ["sta_norm", "line_norm"]).select(
                 "station", "line", "sta_lat", "sta_lon"
             )
@@ -218,7 +255,7 @@ class Study:
         """Stops with traffic: ``stop_id, stop_lat, stop_lon``."""
 
         def build() -> DataFrame:
-            keys = self.bus_facts.select("stop_id").distinct().join(self.stops, "stop_id")
+            keys = self._facts("bus", (), None).select("stop_id").distinct().join(self.stops, "stop_id")
             return keys.select("stop_id", "stop_lat", "stop_lon")
 
         return self.shared("stop-keys", build)

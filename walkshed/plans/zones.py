@@ -31,22 +31,22 @@ def bus_total(study: Study) -> DataFrame:
 
 
 def bus_in_reach(
-    study: Study, radii_m: Sequence[int], hours: Sequence[int] | None = None, **sums: Column
+    study: Study, radii_m: Sequence[int], *dims: str, hours: Sequence[int] | None = None, **sums: Column
 ) -> DataFrame:
-    """Sums over the stops in reach of each station site, with ``n_stops``.
+    """Sums over the stops in reach of each station site, by ``dims``, with ``n_stops``.
 
     The ridership is summed per stop, then per position, before it meets the pairs.
     """
     per_site = (
-        study.bus_by_stop(hours=hours, **sums)
+        study.bus_by_stop(*dims, hours=hours, **sums)
         .join(study.stops, "stop_id")
-        .groupBy("stop_lat", "stop_lon")
+        .groupBy("stop_lat", "stop_lon", *dims)
         .agg(*[F.sum(k).alias(k) for k in sums], F.count("*").alias("n_stops"))
     )
     return (
         study.reach(radii_m)
         .join(per_site, ["stop_lat", "stop_lon"])
-        .groupBy("radius_m", "sta_lat", "sta_lon")
+        .groupBy("radius_m", "sta_lat", "sta_lon", *dims)
         .agg(*[F.sum(k).alias(k) for k in [*sums, "n_stops"]])
     )
 

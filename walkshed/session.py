@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -52,9 +53,9 @@ def delete_folder(spark: SparkSession, path: str) -> None:
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
-def stage_table(df: DataFrame, name: str, folder: str | None = None) -> DataFrame:
+def stage_table(df: DataFrame, name: str, folder: str | None = None, partition_by: Sequence[str] = ()) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: later plans start from the files."""
     spark = df.sparkSession
     path = f"{folder}/{name}" if folder else new_folder(spark, name)
-    df.write.parquet(path)
+    df.write.partitionBy(*partition_by).parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -56,6 +56,11 @@ def write_hourly(
         spark.conf.set(OPEN_FILES, before)
 
 
+def months(columns: list[str], spec: ModeSpec) -> list[str]:
+    """The names of year and month in a table that has our or the official column names."""
+    return [spec.official_names[c] if spec.official_names[c] in columns else c for c in ("year", "month")]
+
+
 def read_hourly(
     spark: SparkSession,
     path: str,
