@@ -420,6 +420,21 @@ class TestLineDedup:
         assert [r.h1 for r in runs.unseen(new).collect()] == [77]
         assert line_dedup.LineRuns(spark).unseen(new).count() == 2
 
+    @pytest.mark.parametrize("batches", [1, 2, 7])
+    def test_number_of_batches_changes_nothing(self, spark, batches):
+        repeated = "a line that is long enough to be dropped again"
+        rows = [(i, f"{repeated} {i % 3}\nown {i}\n{repeated} {i % 3}") for i in range(20)]
+        df = spark.createDataFrame(rows, "doc_id bigint, text string")
+        found = [tuple(r) for r in line_dedup.drop_repeated_lines(df, batches=batches).collect()]
+        assert sorted(found, key=str) == self.brute(rows)
+
+    def test_a_hash_is_in_one_run(self, spark):
+        lines = spark.range(300).selectExpr("id", "id % 40 AS h1", "id % 20 AS h2")
+        runs = line_dedup.add_batches(lines, batches=5, fanout=3)
+        kept = runs._read(runs.levels)
+        assert kept.count() == kept.select("h1", "h2").distinct().count() == 40
+        assert runs.updates and runs.table().selectExpr("sum(n_docs)").first()[0] == 300
+
     def test_empty_table(self, empty):
         assert line_dedup.drop_repeated_lines(empty).count() == 0
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
 from uuid import uuid4
 
@@ -39,14 +39,14 @@ def scratch(spark: SparkSession) -> Iterator[None]:
         delete_folder(spark, folder)
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
+def stage(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     Later jobs start from files, which cuts the lineage and tells Spark the size of the
     table, so that a join broadcasts it only below Spark's own threshold.
     """
     folder = _FOLDERS[-1] if _FOLDERS else None
-    return stage_table(df, f"{name}-{uuid4().hex}" if folder else name, folder)
+    return stage_table(df, f"{name}-{uuid4().hex}" if folder else name, folder, partition_by)
 
 
 def crc32_text(column: str | Column) -> Column:
