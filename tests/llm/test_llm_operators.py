@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 import zlib
 from datetime import date, timedelta
 
@@ -152,6 +153,35 @@ class TestHtml:
         assert html_extract.surges(lengths) == [(2, 5), (9, 10)]
         assert html_extract.surges(np.zeros(4, int)) == []
 
+    def test_menus_and_comments_in_the_article_go_and_lone_links_stay(self):
+        menu = "".join(f"<div><a href=x>{w}</a></div>" for w in ("Home", "About", "More"))
+        page = f"<main>{menu}<p>Text <a>here</a>.</p><p><a>A lone link</a></p><p>End</p><ul>{menu.replace('div', 'li')}</ul></main>"
+        assert html_extract.main_text(page) == "Text here.\nA lone link\nEnd"
+        assert html_extract.main_text("<main><p>Body</p><article class='comment'><p>reader</p></article></main>") == "Body"
+        assert html_extract.main_text("<article class='widget'><p>Body</p></article>") == "Body"
+
+    @pytest.mark.parametrize("holder", ["div", "section", "body"])
+    def test_short_parts_are_kept(self, holder):
+        body = "<p>" + "long text " * 30 + "</p>"
+        wanted = ("long text " * 30).strip() + "\nshort end."
+        assert html_extract.main_text(f"<article>{body}</article><div>x</div><article><p>short end.</p></article>") == wanted
+        assert html_extract.main_text(f"<{holder}>{body}<aside>q</aside><p>short end.</p></{holder}>") == wanted
+        other = f"<div>Elsewhere</div><nav>q</nav><{holder}>{body}<aside>q</aside><p>short end.</p></{holder}>"
+        assert holder == "body" or html_extract.main_text(other) == wanted
+
+    @pytest.mark.parametrize("page", [
+        "<div>" * 40_000 + "x", "<p '" * 60_000, "<p '" * 60_001 + ">", "<p " * 90_000 + "'>'", "<" * 300_000,
+        "<ul>" + "<div>" * 20_000 + "<li></li>" * 20_000, "<nav>" + "<article>x</article>" * 10_000 + "</nav>",
+        "<nav>" + "<script>" * 40_000, "<!" * 100_000, "<!--" * 60_000, "<span>" * 30_000 + "</div>" * 30_000,
+    ])
+    def test_time_grows_with_the_length(self, page):
+        def seconds(text):
+            start = time.process_time()
+            html_extract.main_text(text)
+            return time.process_time() - start
+
+        assert seconds(page) < 5  # a search for each tag or quote over all others takes minutes
+
     def test_test_pages_as_their_markup_says(self, spark):
         pages = spark.read.parquet(f"{SF}/pages.parquet")
         import html
