@@ -397,8 +397,27 @@ class TestSharding:
         mean = sum(sizes.values()) / 16
         assert len(sizes) == 16 and all(abs(b - mean) < 0.03 * mean + 20 for b in sizes.values())
 
+    @pytest.mark.parametrize("hot", ["CAST(NULL AS BIGINT)", "7L"])
+    def test_rows_of_one_id_or_none_are_divided(self, spark, hot):
+        docs = spark.range(4000).selectExpr(
+            f"IF(id % 4 < 3, {hot}, id) AS doc_id", "IF(id % 4 < 3, 'a copied text', concat('text ', id)) AS text", "id AS k", "id AS t"
+        ).repartition(5)
+        rows = sharding.assign_shards(docs).collect()
+        again = sharding.assign_shards(docs.repartition(3)).collect()
+        sizes, slots = {}, {}
+        for r in rows:
+            sizes[r.shard] = sizes.get(r.shard, 0) + r.size
+            slots.setdefault(r.shard, []).append(r.slot)
+        mean = sum(sizes.values()) / 16
+        assert len(rows) == 4000 and len(sizes) == 16 and all(abs(b - mean) < 0.03 * mean + 20 for b in sizes.values())
+        assert all(sorted(own) == list(range(len(own))) for own in slots.values())
+        counted = [sorted((str(r.id), r.size, r.shard) for r in found) for found in (rows, again)]
+        assert counted[0] == counted[1]
+        whole = sharding.with_shard(docs, name="at").groupBy("at").agg(F.sum(F.length("text") + 1).alias("b")).collect()
+        assert len(whole) == 16 and all(abs(r.b - mean) < 0.2 * mean for r in whole)
+
     def test_overfull_ranges_are_subdivided(self, spark, monkeypatch):
-        rows = spark.range(20_000).selectExpr("id AS h", "0L AS k", "1L + if(id < 40, 1000, 0) AS size").cache()
+        rows = spark.range(20_000).selectExpr("id AS h", "0L AS k", "0L AS t", "1L + if(id < 40, 1000, 0) AS size").cache()
         monkeypatch.setattr(sharding, "MIN_RANGES", 8)
         monkeypatch.setattr(sharding, "PER_RANGE", 4)
         splitters = sharding.find_splitters(rows, 60_000, 20_000)

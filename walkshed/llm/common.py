@@ -49,6 +49,11 @@ def stage(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataFra
     return stage_table(df, f"{name}-{uuid4().hex}" if folder else name, folder, partition_by)
 
 
+def row_salt() -> Column:
+    """A hash of a row's place in its table, which tells apart rows that are alike in all else."""
+    return F.xxhash64(F.monotonically_increasing_id())
+
+
 def crc32_text(column: str | Column) -> Column:
     """crc32 of a value's text form; null counts as empty text."""
     col = F.col(column) if isinstance(column, str) else column
