@@ -227,6 +227,23 @@ class TestMixing:
             assert all(r.taken in (0, r.size, 2 * r.size) for r in own)
             assert own[0].source_size == sum(r.size for r in own)
 
+    @pytest.mark.parametrize("hot", ["CAST(NULL AS BIGINT)", "7L"])
+    @pytest.mark.parametrize("text", ["'one two three'", "concat('one two ', id)"])
+    def test_rows_of_one_id_or_none_are_parted(self, spark, hot, text):
+        docs = spark.range(1200).selectExpr(
+            f"IF(id < 400, {hot}, id) AS doc_id", "concat('s', id div 400) AS source", f"{text} AS text", "id AS salt", "id AS cut"
+        ).repartition(5)
+        rows = mixing.mix_counts(docs, weights=(5, 4, 3)).collect()
+        again = mixing.mix_counts(docs.repartition(3), weights=(5, 4, 3)).collect()
+        counted = [sorted((str(r.id), r.source, r.size, r.taken) for r in found) for found in (rows, again)]
+        assert counted[0] == counted[1] and len(rows) == 1200
+        assert all(r.taken % r.size == 0 and r.taken <= 2 * r.size for r in rows)
+        targets = {r.source: r.target for r in rows}
+        for source, target in targets.items():
+            assert abs(sum(r.taken for r in rows if r.source == source) - target) <= 1.5
+        whole = mixing.mix(docs, weights=(5, 4, 3)).groupBy("source").count().collect()
+        assert all(abs(3 * r["count"] - targets[r.source]) < 0.1 * targets[r.source] for r in whole)
+
     def test_odd_rows(self, odd, empty):
         rows = mixing.mix_counts(odd).collect()
         assert len(rows) == 10 and {r.size for r in rows if r.id in (2, 3, 4)} == {0}

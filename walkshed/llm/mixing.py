@@ -6,8 +6,10 @@ none is above: with the sources in order of size per weight, the first clamped o
 prefix of that order, found with running sums.
 
 A target is met with whole repetitions of all documents and one more of some: those that
-come first in a seeded order, up to the words that are missing. The cut in this order is
-found by summing hash buckets and then ordering the one bucket per source it falls in.
+come first in a seeded order, up to the words that are missing. The order is by a hash of the id, among
+rows of one id, or of none, by a hash of the text, and among rows alike in both by one of their place in
+the table. At each of these levels the cut is found by summing hash buckets and then ordering the
+distinct hashes of the one bucket per source it falls in, so no level orders a hot group in one task.
 """
 
 from __future__ import annotations
@@ -17,7 +19,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from walkshed.llm.common import WHITE, stage
+from walkshed.llm.common import WHITE, row_salt, stage
 
 WEIGHTS = (5.0, 2.0, 1.0)
 SEED = 17
@@ -32,10 +34,19 @@ def word_count(text: str | Column) -> Column:
 
 
 def seeded_order(id_col: Column, seed: int) -> Column:
-    """Hex digits that put documents in a random order fixed by the seed."""
+    """Hex digits that put ids in a random order fixed by the seed."""
     return F.md5(F.concat_ws(":", F.lit(str(seed)), F.coalesce(id_col.cast("string"), F.lit(""))).cast("binary"))
 
 
+def _digits(number: Column) -> Column:
+    return F.lpad(F.hex(number), 16, "0")
+
+
+def levels(id_col: Column, text_hash: Column, salt: Column, seed: int) -> list[Column]:
+    """The keys of the order, each deciding among rows that the ones before leave equal."""
+    return [seeded_order(id_col, seed), _digits(text_hash), _digits(salt)]
+
+
 def source_targets(
     sizes: DataFrame, weights: Sequence[float] = WEIGHTS, total_share: float = 1.5, max_epochs: float = 2.0
 ) -> DataFrame:
@@ -69,66 +80,80 @@ def source_targets(
     return filled.select("source", F.coalesce("source_size", F.lit(0)).alias("source_size"), target.alias("target"))
 
 
+def _crossing(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(source, at, missing, size) per source: the key at which the words of ``rows`` (source, key, size), added up by
+    key, pass ``missing`` of ``wanted`` (source, missing); what is then missing before it, and its words.
+
+    Sources that never pass have no row. Only one bucket of keys per source is ordered.
+    """
+    keyed = rows.withColumn("bucket", F.substring("key", 1, BUCKET_DIGITS))
+
+    def passing(sums: DataFrame, by: str) -> DataFrame:
+        running = Window.partitionBy("source").orderBy(by).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        upto = sums.withColumn("upto", F.sum("size").over(running))
+        return upto.where((F.col("upto") > F.col("missing")) & (F.col("upto") - F.col("size") <= F.col("missing")))
+
+    def with_missing(sums: DataFrame, other: DataFrame, *more: str) -> DataFrame:
+        named = other.select(F.col("source").alias("source__"), "missing", *[F.col(c).alias(f"{c}__") for c in more])
+        same = F.col("source").eqNullSafe(F.col("source__"))
+        for c in more:
+            same = same & (F.col(c) == F.col(f"{c}__"))
+        return sums.join(named, same).drop("source__", *[f"{c}__" for c in more])
+
+    sums = keyed.groupBy("source", "bucket").agg(F.sum("size").alias("size"))
+    buckets = passing(with_missing(sums, wanted), "bucket").withColumn("missing", F.col("missing") - (F.col("upto") - F.col("size")))
+    buckets = stage(buckets.select("source", "bucket", "missing"), "cuts")
+    inside = with_missing(keyed, buckets, "bucket").groupBy("source", "key", "missing").agg(F.sum("size").alias("size"))
+    left = F.col("missing") - (F.col("upto") - F.col("size"))
+    return stage(passing(inside, "key").select("source", F.col("key").alias("at"), left.alias("missing"), "size"), "cuts")
+
+
 def plan_mix(rows: DataFrame, targets: DataFrame, seed: int = SEED) -> DataFrame:
     """One row per source: its size and target, whole repetitions, and the cut for one more.
 
-    ``rows`` (id, source, size) should be staged. Documents whose seeded order is at
-    most ``cut`` are taken once more. The words taken miss a target by at most half
-    the size of the document at the cut.
+    ``rows`` (id, source, size, text_hash, salt) should be staged. Rows whose place in the seeded order is below
+    ``cut`` are taken once more. The words taken miss a target by at most half the size of the row at the cut.
     """
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
     planned = targets.withColumn("whole", whole.cast("bigint"))
     planned = stage(
         planned.withColumn("missing", F.col("target") - F.col("whole") * F.col("source_size")), "mix"
     )
-    ordered = rows.select("source", "size", seeded_order(F.col("id"), seed).alias("place"))
-    ordered = ordered.withColumn("bucket", F.substring("place", 1, BUCKET_DIGITS))
-    sums = ordered.groupBy("source", "bucket").agg(F.sum("size").alias("bucket_size"))
-    running = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    upto = sums.withColumn("upto", F.sum("bucket_size").over(running))
-    same = upto["source"].eqNullSafe(planned["source"])
-    crossing = upto.join(planned.select("source", "missing"), same).where(
-        (F.col("upto") > F.col("missing")) & (F.col("upto") - F.col("bucket_size") <= F.col("missing"))
-    )
-    crossing = stage(
-        crossing.select(
-            upto["source"].alias("cut_source"), F.col("bucket").alias("cut_bucket"), "missing",
-            (F.col("upto") - F.col("bucket_size")).alias("start"),
-        ),
-        "cuts",
-    )
-    inside = ordered.join(
-        crossing, ordered["source"].eqNullSafe(F.col("cut_source")) & (F.col("bucket") == F.col("cut_bucket"))
-    )
-    inside = inside.groupBy("cut_source", "place", "missing", "start").agg(F.sum("size").alias("size"))
-    within = Window.partitionBy("cut_source").orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
-    reached = F.col("start") + F.coalesce(F.sum("size").over(within), F.lit(0)) + F.col("size") / 2
-    taken = inside.withColumn("reached", reached).where(F.col("reached") <= F.col("missing"))
-    last = taken.groupBy(F.col("cut_source").alias("last_source")).agg(F.max("place").alias("last"))
-    cut = crossing.join(last, F.col("cut_source").eqNullSafe(F.col("last_source")), "left").select(
-        "cut_source", F.coalesce("last", F.col("cut_bucket")).alias("cut")
-    )
-    found = planned.join(cut, planned["source"].eqNullSafe(F.col("cut_source")), "left")
-    # Nothing missing takes none more; a cut beyond all buckets takes all.
-    none_or_all = F.when(F.col("missing") > 0, F.lit("g")).otherwise(F.lit(""))
-    return stage(
-        found.select("source", "source_size", "target", "whole", F.coalesce("cut", none_or_all).alias("cut")), "mix"
-    )
-
-
-def copies(id_col: Column, whole: Column, cut: Column, seed: int = SEED) -> Column:
-    """How often the mix takes a document."""
-    return whole + F.when(seeded_order(id_col, seed) <= cut, 1).otherwise(0)
+    keys = levels(F.col("id"), F.col("text_hash"), F.col("salt"), seed)
+    tied = rows.select("source", "size", *[k.alias(f"key{n}") for n, k in enumerate(keys)])
+    # The rows at the cut of one level are those in which the next one cuts.
+    cuts = _crossing(tied.select("source", F.col("key0").alias("key"), "size"), planned)
+    cuts = cuts.select("source", F.col("at").alias("cut"), "missing", "size")
+    for level in range(1, len(keys)):
+        named = cuts.select(F.col("source").alias("source__"), F.col("cut").alias("cut__"))
+        before = F.concat(*[F.col(f"key{n}") for n in range(level)])
+        at_cut = tied.join(named, F.col("source").eqNullSafe(F.col("source__")) & (before == F.col("cut__")))
+        found = _crossing(at_cut.select("source", F.col(f"key{level}").alias("key"), "size"), cuts)
+        cuts = found.join(named, F.col("source").eqNullSafe(F.col("source__"))).select(
+            "source", F.concat("cut__", "at").alias("cut"), "missing", "size"
+        )
+    # "~" sorts after all digits: with it the row at the cut is below it.
+    below = F.when(F.col("size") / 2 <= F.col("missing"), F.concat("cut", F.lit("~"))).otherwise(F.col("cut"))
+    cuts = cuts.select(F.col("source").alias("cut_source"), below.alias("cut"))
+    found = planned.join(cuts, planned["source"].eqNullSafe(F.col("cut_source")), "left")
+    cut = F.when(F.col("missing") <= 0, F.lit("")).otherwise(F.coalesce("cut", F.lit("~")))
+    return stage(found.select("source", "source_size", "target", "whole", cut.alias("cut")), "mix")
+
+
+def copies(order: list[Column], whole: Column, cut: Column) -> Column:
+    """How often the mix takes a row with these keys in the seeded order."""
+    return whole + F.when(F.concat(*order) < cut, 1).otherwise(0)
 
 
 def sized_rows(docs: DataFrame, id_col: str, source_col: str, text_col: str) -> DataFrame:
-    """(id, source, size), staged: later steps do not read the texts again."""
+    """(id, source, size, text_hash, salt), staged: later steps do not read the texts again."""
     return stage(
         docs.select(
-            F.col(id_col).alias("id"), F.col(source_col).alias("source"), word_count(text_col).alias("size")
+            F.col(id_col).alias("id"), F.col(source_col).alias("source"), word_count(text_col).alias("size"),
+            F.xxhash64(text_col).alias("text_hash"), row_salt().alias("salt"),
         ),
         "sizes",
-    )
+    )
 
 
 def mix_counts(
@@ -145,13 +170,14 @@ def mix_counts(
 
     ``taken`` counts words, repetitions included: never more than ``max_epochs`` (a whole
     number) times the size. Rows without text have size 0 and take nothing; null is a source of
-    its own. Repeated rows with one id count each and are taken alike. Runs over the
-    same rows agree. An empty table gives none.
+    its own. Repeated rows with one id, or without, count each; the cut may fall among them, of rows alike in
+    id and text in any. Runs over the same rows agree. An empty table gives none.
     """
     rows = sized_rows(docs, id_col, source_col, text_col)
     plan = plan_mix(rows, source_targets(rows, weights, total_share, max_epochs), seed)
     joined = rows.join(plan, rows["source"].eqNullSafe(plan["source"]))
-    taken = F.col("size") * copies(F.col("id"), F.col("whole"), F.col("cut"), seed)
+    order = levels(F.col("id"), F.col("text_hash"), F.col("salt"), seed)
+    taken = F.col("size") * copies(order, F.col("whole"), F.col("cut"))
     return joined.select("id", rows["source"], "size", "source_size", "target", taken.cast("bigint").alias("taken"))
 
 
@@ -167,14 +193,17 @@ def mix(
 ) -> DataFrame:
     """``docs`` as the mix takes them: each row as often as its source's target asks for.
 
-    Columns stay as they are. Rows without words are taken like others of their source.
+    Columns stay as they are. Rows without words are taken like others of their source. Where a second reading
+    numbers the rows anew, the cut among rows alike in id and text parts them in near the same proportion.
     """
     rows = sized_rows(docs, id_col, source_col, text_col)
     plan = plan_mix(rows, source_targets(rows, weights, total_share, max_epochs), seed)
     renamed = plan.select(
         F.col("source").alias("source__"), F.col("whole").alias("whole__"), F.col("cut").alias("cut__")
     )
-    joined = docs.join(renamed, docs[source_col].eqNullSafe(F.col("source__")))
-    times = copies(F.col(id_col), F.col("whole__"), F.col("cut__"), seed).cast("int")
+    salted = docs.withColumn("salt__", row_salt())
+    joined = salted.join(renamed, F.col(source_col).eqNullSafe(F.col("source__")))
+    order = levels(F.col(id_col), F.xxhash64(text_col), F.col("salt__"), seed)
+    times = copies(order, F.col("whole__"), F.col("cut__")).cast("int")
     repeated = joined.withColumn("copy__", F.explode(F.array_repeat(F.lit(1), times)))
     return repeated.select(*[F.col(f"`{c}`") for c in docs.columns])
