@@ -625,6 +625,33 @@ class TestNearCopies:
             monkeypatch.setattr(near_copies, "UNIT_SHINGLES", most)
             assert sorted(r.doc_id for r in near_copies.first_of_each(docs).collect()) == wanted
 
+    def test_pairs_of_fingerprints_in_units_of_any_size(self, spark, monkeypatch):
+        """Near copies that share no bucket, only near fingerprints, are linked in small and in large groups."""
+        from walkshed.llm import near_copies
+
+        monkeypatch.setattr(near_copies, "RADIUS", 12)
+        draw = random.Random(11)
+        base = [f"w{draw.randrange(5000)}" for _ in range(80)]
+        texts = {}
+        for i in range(60):
+            words = list(base)
+            for _ in range(i % 5):
+                words[draw.randrange(80)] = f"x{i}y{draw.randrange(10**6)}"
+            texts[i] = " ".join(words)
+        docs = table(spark, [(i, t, "en", "a") for i, t in texts.items()]).withColumn("text_hash__", F.sha2("text", 256))
+        sigs = near_copies._signatures(docs.drop("size", "fp"), ["doc_id", "text_hash__"], "text", 5)
+        nodes = sigs.dropDuplicates(["node"]).withColumn("key", F.xxhash64("node")).withColumn("bands", F.lit(None).cast("array<bigint>"))
+        nodes = near_copies.stage(nodes, "nodes")
+        ids = {r.node: r.doc_id for r in nodes.collect()}
+        found = []
+        for most in (1 << 20, 2000, 300):
+            monkeypatch.setattr(near_copies, "UNIT_SHINGLES", most)
+            groups = components.components(near_copies.links(docs, nodes), "a", "b").collect()
+            gone = {ids[r.node] for r in groups} - {min(ids[r.node] for r in groups if r.component == c) for c in {r.component for r in groups}}
+            found.append(sorted(set(ids.values()) - gone))
+        assert len(found[0]) < len(ids) and found == [found[0]] * 3
+        assert found[0] == self.brute({i: texts[i] for i in ids.values()})
+
     def test_candidates_grow_with_the_rows(self, spark):
         """Texts of a similarity of 0.5 with each other: few meet, and a bucket has a row per member."""
         from walkshed.llm import near_copies

@@ -9,9 +9,10 @@ A bucket of a band links its members to one of them, which costs as many rows as
 linked so form a group of candidates. A small group goes to one task with its shingle sets, each set
 once, and is compared there by an index of shingles; what the task returns is a forest of links of
 exact similarity. A group too large for a task is first compared with the least node of each of its
-buckets, in parts. Buckets whose members are connected by then are done; the members of the others are
-dealt to blocks, and each pair of blocks is one more unit of work. So no pair of a bucket is left out,
-and pairs are never rows of a table.
+buckets, in parts. Nodes that are not connected by then can be similar only if the first of their
+shingles, in an order of the group, have one in common; what meets so is compared whole, or dealt to
+blocks of which each pair is one more unit of work. So all pairs of a group are decided, whatever its
+size and whichever side proposed them, and pairs are never rows of a table.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from walkshed.llm import simhash
@@ -198,8 +199,31 @@ def _in_blocks(rows: DataFrame, unit: str, shingles_: str) -> DataFrame:
     return dealt.select(pair.alias("unit"), "key", "label")
 
 
+def _apart(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(unit, key, size, label): nodes of a group that may link to one of another label; any two such share a unit.
+
+    Two sets with this share have one of their first ``size - ceil(size * share) + 1`` elements in common, in
+    any order of all elements. Here elements found under one label only come first, then rare ones. ``rows``
+    has group, key, size and label.
+    """
+    labels = [F.min("label").alias("x"), F.max("label").alias("y")]
+    several = stage(rows.groupBy("group").agg(*labels).where("x != y").select("group"), "several")
+    rows = rows.join(several, "group", "left_semi")
+    elements = stage(rows.join(sets.select("key", F.explode("hashes").alias("element")), "key"), "elements")
+    shared = elements.groupBy("group", "element").agg(F.count("*").alias("n"), *labels).where("x != y")
+    ranked = elements.join(shared.select("group", "element", "n"), ["group", "element"], "left")
+    order = Window.partitionBy("key").orderBy(F.col("n").asc_nulls_first(), "element")
+    least = F.ceil(F.col("size") * percent / 100)
+    first = ranked.withColumn("at", F.row_number().over(order)).where(F.col("n").isNotNull() & (F.col("at") <= F.col("size") - least + 1))
+    first = stage(first.select("group", "element", "key", "label"), "first")
+    meet = first.groupBy("group", "element").agg(F.min("key").alias("lead"), *labels).where("x != y")
+    edges = first.join(meet.select("group", "element", "lead"), ["group", "element"]).select("lead", "key")
+    units = stage(components(edges, "lead", "key").withColumnsRenamed({"node": "key", "component": "unit"}), "units")
+    return stage(rows.join(units, "key").select("unit", "key", "size", "label"), "apart")
+
+
 def links(docs: DataFrame, nodes: DataFrame, text_col: str = "text", shingle: int = 5, percent: int = 80) -> DataFrame:
-    """(a, b): exact links that connect all nodes that share a bucket and have at least this similarity.
+    """(a, b): exact links that connect all nodes of a group of candidates that have at least this similarity.
 
     ``nodes``: key (64 bits of the node), node, size, fp, bands and the text hash of one of its texts.
     """
@@ -218,10 +242,9 @@ def links(docs: DataFrame, nodes: DataFrame, text_col: str = "text", shingle: in
     found = stage(_forests(whole, sets, percent), "links")
     if large.isEmpty():
         return found
-    inside = groups.join(large, "group", "left_semi").select("key", "node", "size")
-    members = stage(buckets.join(inside, "key"), "members")
+    inside = stage(groups.join(large, "group", "left_semi").select("group", "key", "node", "size"), "inside")
     # Each lead with its other members, in parts.
-    stars = members.where("key != lead").groupBy("lead", "key").agg(F.first("size").alias("size"))
+    stars = buckets.where("key != lead").select("lead", "key").distinct().join(inside.select("key", "size"), "key")
     total = stars.groupBy("lead").agg(F.sum("size").alias("total"))
     parts = F.ceil(F.col("total") / F.lit(UNIT_SHINGLES)).cast("int")
     total = stage(total.select("lead", parts.alias("n_parts")), "stars")
@@ -232,11 +255,9 @@ def links(docs: DataFrame, nodes: DataFrame, text_col: str = "text", shingle: in
     leads = leads.select(name.alias("unit"), F.col("lead").alias("key"), none.alias("label"), F.lit(True).alias("led"))
     found = found.unionByName(stage(_forests(each.unionByName(leads), sets, percent), "links"))
     now = stage(components(found, "a", "b"), "groups").withColumnRenamed("node", "n")
-    labelled = members.join(now, F.col("node") == F.col("n"), "left").select("bucket", "key", "size", F.coalesce("component", "node").alias("label"))
-    labelled = stage(labelled, "labelled")
-    several = labelled.groupBy("bucket").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x != y").select("bucket")
-    several = labelled.join(stage(several, "open"), "bucket", "left_semi")
-    rest = _in_blocks(several, "bucket", "blocks").withColumn("led", F.lit(False))
+    labelled = inside.join(now, F.col("node") == F.col("n"), "left")
+    labelled = stage(labelled.select("group", "key", "size", F.coalesce("component", "node").alias("label")), "labelled")
+    rest = _in_blocks(_apart(labelled, sets, percent), "unit", "blocks").withColumn("led", F.lit(False))
     return found.unionByName(stage(_forests(rest, sets, percent), "links"))
 
 
