@@ -16,7 +16,6 @@ from __future__ import annotations
 import heapq
 import struct
 from collections.abc import Callable, Iterator
-from itertools import chain
 from pathlib import Path
 
 import numpy as np
@@ -109,6 +108,11 @@ class Vocabulary:
             else {CONTROL: "", UNKNOWN: UNKNOWN_TEXT}.get(kind, t.replace(SPACE, " "))
             for t, kind in zip(self.texts, self.kinds)
         ]
+        self.surface_column = pa.array([t or "" for t in self.surfaces], pa.large_string())
+        self.partial = np.array([t is None for t in self.surfaces])
+        #: Pieces of text, and those whose first character goes at the beginning of a text.
+        self.plain = np.array([kind == NORMAL for kind in self.kinds])
+        self.marked = np.array([bool(self.prefix) and t.startswith(SPACE) for t in self.texts])
         self.joins = np.zeros(JOINS, np.bool_)
         for text in self.ids:
             codes = np.array([ord(c) for c in text], np.uint32)
@@ -119,11 +123,22 @@ class Vocabulary:
         """Where ``joins`` holds each two neighbours. Some share a place, which only leaves words longer."""
         return (codes[:-1] * np.uint32(0x9E3779B1) ^ codes[1:] * np.uint32(0x85EBCA6B)) >> np.uint32(32 - JOINS.bit_length() + 1)
 
-    def words(self, text: str) -> list[str]:
-        """The text, cut between neighbours that no piece holds side by side."""
-        codes = np.frombuffer(text.encode("utf-32-le"), np.uint32)
-        cuts = (np.flatnonzero(~self.joins[self._joined(codes)]) + 1).tolist()
-        return [text[i:j] for i, j in zip([0, *cuts], [*cuts, len(text)])]
+    def words(self, texts: list[str]) -> tuple[pa.Array, np.ndarray]:
+        """The words of all texts in UTF-32, and how many there are up to the end of each text.
+
+        A text is cut between neighbours that no piece holds side by side.
+        """
+        marked = [self.prefix + t.replace(" ", SPACE) if t else "" for t in texts]
+        data = "".join(marked).encode("utf-32-le")
+        codes = np.frombuffer(data, np.uint32)
+        ends = np.cumsum([len(m) for m in marked], dtype=np.int64)
+        last = np.zeros(len(codes), np.bool_)  # characters that end a word
+        last[:-1] = ~self.joins[self._joined(codes)]
+        last[ends[ends > 0] - 1] = True
+        stops = np.flatnonzero(last) + 1
+        offsets = pa.py_buffer(4 * np.append(0, stops))
+        words = pa.Array.from_buffers(pa.large_binary(), len(stops), [None, offsets, pa.py_buffer(data)])
+        return words, np.searchsorted(stops, ends, "right")
 
     def _pairs(self) -> None:
         """Number the symbols, and list the pairs of symbols whose union is a piece.
@@ -178,7 +193,7 @@ class Encoder:
 
     def __init__(self, vocabulary: Vocabulary) -> None:
         self.vocabulary = vocabulary
-        self._known: dict[str, bytes] = {}
+        self._known: dict[bytes, bytes] = {}
 
     def merged(self, word: str) -> list[str]:
         """The symbols of a word when no adjacent pair is in the vocabulary any more."""
@@ -260,37 +275,53 @@ class Encoder:
             made[at] = self._ids([v.texts[c] if c < pieces else chr(c - pieces) for c in symbols_])
         return made
 
-    def _remember(self, words: set[str]) -> dict[str, bytes]:
-        """The ids of short words, from memory or made."""
+    def _remember(self, words: list[bytes]) -> dict[bytes, bytes]:
+        """The ids of short words (in UTF-32), from memory or made."""
         if len(self._known) + len(words) > REMEMBERED:
             self._known.clear()
         new = sorted((w for w in words if w not in self._known), key=len)
         for i in range(0, len(new), TOGETHER):
             part = new[i : i + TOGETHER]
-            self._known.update(zip(part, self.merged_rows(part)))
+            self._known.update(zip(part, self.merged_rows([w.decode("utf-32-le") for w in part])))
         return self._known
 
     def encode_all(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text."""
-        v, words = self.vocabulary, []
-        for text in texts:
-            words.append(v.words(v.prefix + text.replace(" ", SPACE)) if text else [])
-        different = set(chain.from_iterable(words))
-        known = self._remember({w for w in different if len(w) <= SHORT})
-        long = {w: self._ids(self.merged(w)) for w in different if len(w) > SHORT}
-        known.update(long)
-        made = [np.frombuffer(b"".join(map(known.__getitem__, part)), np.int32) for part in words]
-        for w in long:
-            del known[w]
-        return made
+        words, counts = self.vocabulary.words(texts)
+        coded = words.dictionary_encode()
+        different = coded.dictionary.to_pylist()
+        known = self._remember([w for w in different if len(w) <= 4 * SHORT])
+        long = {w: self._ids(self.merged(w.decode("utf-32-le"))) for w in different if len(w) > 4 * SHORT}
+        ids = [long[w] if w in long else known[w] for w in different] if long else list(map(known.__getitem__, different))
+        flat, sizes = np.frombuffer(b"".join(ids), np.int32), np.array([len(i) // 4 for i in ids], np.int64)
+        # The ids of each word of the texts, copied from those of the different words.
+        at = coded.indices.to_numpy()
+        sizes, starts = sizes[at], (np.cumsum(sizes) - sizes)[at]
+        ends = np.append(0, np.cumsum(sizes))
+        made = flat[np.repeat(starts - ends[:-1], sizes) + np.arange(ends[-1])]
+        ends = ends[np.append(0, counts)].tolist()
+        return [made[i:j] for i, j in zip(ends, ends[1:])]
+
+    def decode_all(self, ids: list[np.ndarray]) -> list[str]:
+        """The text of each list of ids; those without parts of characters are slices of one column of surfaces."""
+        v, flat = self.vocabulary, np.concatenate([np.zeros(0, np.int32), *ids])
+        column = v.surface_column.take(pa.array(flat))
+        _, offsets, data = column.buffers()
+        ends = np.cumsum([0, *map(len, ids)])
+        stops = np.frombuffer(offsets, np.int64)[column.offset + ends].tolist()
+        data, partial = memoryview(data or b""), np.append(0, np.cumsum(v.partial[flat]))[ends].tolist()
+        out = []
+        for i, part in enumerate(ids):
+            if len(part) and v.plain[part[0]] and partial[i] == partial[i + 1]:
+                out.append(str(data[stops[i] + bool(v.marked[part[0]]) : stops[i + 1]], "utf-8"))
+            else:
+                out.append(self.decode(part.tolist()))
+        return out
 
     def decode(self, ids: list[int]) -> str:
         """The text of ids. A byte that is part of no character becomes U+FFFD."""
         v, out, held = self.vocabulary, [], bytearray()
         first = bool(v.prefix)
-        alone = [v.surfaces[i] for i in ids]
-        if alone and v.kinds[ids[0]] == NORMAL and None not in alone:
-            return "".join(alone)[first and v.texts[ids[0]].startswith(SPACE) :]
 
         def flush() -> None:
             at = 0
@@ -348,7 +379,7 @@ def encoder_of(model: bytes, check: bool) -> Callable[[list[str | None]], tuple[
     def made(texts: list[str | None]) -> tuple[list, list, list]:
         texts = [t or "" for t in texts]
         ids = own.encode_all(texts)
-        decoded = [own.decode(i.tolist()) for i in ids]
+        decoded = own.decode_all(ids)
         agrees: list[bool | None] = [None] * len(texts)
         if library is not None:
             wanted = library.encode(texts, num_threads=1)
