@@ -10,10 +10,11 @@ from conftest import plan_text, rows
 from walkshed.functions.labels import category, direction, renamed, strip_alias
 from walkshed.operators.lookup import lookup_join, measured_bytes
 from walkshed.functions.geo import great_circle_km
-from walkshed.operators.radius import busy_cells, radius_pairs
+from walkshed.operators.radius import Grid, busy_cells, radius_pairs, radius_sums, with_radius
 from walkshed import testdata
-from walkshed.plans.study import unique_stations, unique_stops
-from walkshed.schema import LINE_RENAMES, LINE_TYPES, OTHER_LINE_TYPE
+from walkshed.plans import places
+from walkshed.plans.study import Study, unique_stations, unique_stops
+from walkshed.schema import LINE_RENAMES, LINE_TYPES, OTHER_LINE_TYPE, STATION_MASTER, STOP_MASTER
 
 
 def one(spark, value, expression):
@@ -204,3 +205,41 @@ def test_exact_circle_holds_every_pair_within_the_distance_at_any_latitude(spark
         assert expected
         for pairs in (found, split):
             assert rows(pairs.where(F.col("radius_m") == r), "stop_lat", "stop_lon", "sta_lat") == expected
+
+
+def test_sums_of_pairs_equal_brute_force_with_and_without_a_split(spark):
+    stops, stations = scattered(21, 200, 0.01), scattered(22, 40, 0.01)
+    left, right = frames(spark, stops, stations)
+    left = left.withColumn("n", F.col("stop_id").cast("bigint"))
+    grid = Grid([500, 200])
+    for busy in (None, grid.busy(left, right, 50)):
+        found = radius_sums(grid, grid.near(left, right, busy), ["station"], ["n"])
+        wanted = {}
+        for radius_m in (200, 500):
+            for stop, station in brute_force(stops, stations, radius_m):
+                wanted[radius_m, station] = wanted.get((radius_m, station), 0) + stop
+        assert {(r.radius_m, r.station): r.n for r in found.collect()} == wanted
+        # No pair is shuffled: the task that finds them adds them up.
+        assert "sta_lat" not in "".join(x for x in plan_text(found).splitlines() if "hashpartitioning(station" in x)
+
+
+@pytest.mark.parametrize("exact_circle", [False, True])
+def test_pairs_from_a_broadcast_are_those_of_the_cells(spark, exact_circle):
+    left, right = frames(spark, scattered(23, 200, 0.01), scattered(24, 40, 0.01))
+    grid = Grid([500, 200], exact_circle=exact_circle)
+    pairs = [with_radius(grid, found) for found in (grid.near(left, right, None), grid.near_broadcast(left, right))]
+    columns = ["radius_m", "stop_id", "station", "dist_km"]
+    assert rows(pairs[0], *columns) == rows(pairs[1], *columns)
+    kept = left.repartition(4, "stop_id")
+    exchanges = [x for x in plan_text(with_radius(grid, grid.near_broadcast(kept, right))).splitlines() if "hashpartitioning" in x]
+    assert len(exchanges) == 1
+
+
+def test_pairs_of_a_study_meet_no_second_join_by_position(spark):
+    rail = spark.createDataFrame([("199801", "L", "A", 1, 2, 3)], "ym string, line string, station string, hr int, on_cnt long, off_cnt long")
+    bus = spark.createDataFrame([("199801", "1", "s", "S", 1, 2, 3)], "ym string, route_no string, stop_id string, stop_name string, hr int, on_cnt long, off_cnt long")
+    stations = spark.createDataFrame([("1", "A", "L", 37.5, 127.0)], STATION_MASTER)
+    stops = spark.createDataFrame([("s", "S", "1", "bus", 127.0, 37.5)], STOP_MASTER)
+    found = places.pairs(Study(rail, bus, stations, stops), [500])
+    assert rows(found, "station", "stop_id") == [("A", "s")]
+    assert not [x for x in plan_text(found).splitlines() if "Join" in x and "stop_lat" in x.split(", Inner")[0]]
