@@ -421,3 +421,14 @@ def test_damaged_lines_are_set_aside(spark, tmp_path):
     run_stream(spark, tmp_path)
     assert landed_rows(spark, tmp_path) == (2, [("202501", 1, 2, "complete")])
     assert spark.read.parquet(str(tmp_path / "checkpoint" / "damaged")).count() == 2
+
+
+def test_declared_keys_become_columns_the_first_of_a_key_that_comes_twice(spark):
+    body = '{"S": {"list_total_count": 3, "RESULT": {"CODE": "INFO-000"}, "row": [%s]}}'
+    records = '{"a": "1", "b": null, "x": "9"}, {"b": "2", "a": "3", "b": "4"}, {}, {"a": ""}'
+    page = spark.createDataFrame([("S", "199801", 1, 4, body % records)], LANDED_PAGE)
+    found = pages.page_rows(page, ["b", "a", "c"])
+    assert found.columns == ["service", "page_ym", "b", "a", "c"]
+    assert [tuple(r)[2:] for r in found.collect()] == [(None, "1", None), ("2", "3", None), (None, None, None), (None, "", None)]
+    # One pass over the keys of a record, and no lookup for each name.
+    assert "MapInArrow" in plan_text(found) and "element_at(r" not in plan_text(found)

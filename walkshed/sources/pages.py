@@ -8,6 +8,9 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -124,7 +127,26 @@ def _rows(latest: DataFrame, columns: Sequence[str]) -> DataFrame:
         latest.where(_status(F.coalesce(F.size("body.row"), F.lit(0))) == "ok")
         .select("service", F.col("ym").alias("page_ym"), F.explode("body.row").alias("r"))
     )
-    return records.select("service", "page_ym", *[F.element_at("r", F.lit(c)).alias(c) for c in columns])
+    names = list(columns)
+    schema = T.StructType([*records.schema.fields[:2], *[T.StructField(c, T.StringType()) for c in names]])
+    return records.mapInArrow(lambda batches: map(lambda batch: _declared(batch, names), batches), schema)
+
+
+def _declared(batch: pa.RecordBatch, names: list[str]) -> pa.RecordBatch:
+    """The declared keys of a batch of records as columns; of a key that comes twice in a record the first.
+
+    Looking up every name in every record, as an expression, makes code too long for the JVM to compile.
+    """
+    maps = batch.column(2)
+    starts = maps.offsets.to_numpy()
+    keys = maps.keys.slice(starts[0], starts[-1] - starts[0])
+    record = np.repeat(np.arange(len(maps)), np.diff(starts))
+    column = pc.fill_null(pc.index_in(keys, value_set=pa.array(names, keys.type)), -1).to_numpy(zero_copy_only=False)
+    at = np.flatnonzero((column >= 0) & maps.is_valid().to_numpy(zero_copy_only=False)[record])[::-1]
+    found = np.full((len(names), len(maps)), -1)
+    found[column[at], record[at]] = at + starts[0]
+    cells = [maps.items.take(pa.array(row, mask=row < 0)) for row in found]
+    return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *cells], names=[*batch.schema.names[:2], *names])
 
 
 def month_status(pages: DataFrame, columns: Mapping[str, Sequence[str]] | None = None) -> DataFrame:
