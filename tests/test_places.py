@@ -12,7 +12,7 @@ from walkshed.operators.lookup import lookup_join, measured_bytes
 from walkshed.functions.geo import great_circle_km
 from walkshed.operators.radius import Grid, busy_cells, radius_pairs, radius_sums, with_radius
 from walkshed import testdata
-from walkshed.plans import places
+from walkshed.plans import places, views
 from walkshed.plans.study import Study, unique_stations, unique_stops
 from walkshed.schema import LINE_RENAMES, LINE_TYPES, OTHER_LINE_TYPE, STATION_MASTER, STOP_MASTER
 
@@ -235,11 +235,29 @@ def test_pairs_from_a_broadcast_are_those_of_the_cells(spark, exact_circle):
     assert len(exchanges) == 1
 
 
-def test_pairs_of_a_study_meet_no_second_join_by_position(spark):
+def small_study(spark):
     rail = spark.createDataFrame([("199801", "L", "A", 1, 2, 3)], "ym string, line string, station string, hr int, on_cnt long, off_cnt long")
     bus = spark.createDataFrame([("199801", "1", "s", "S", 1, 2, 3)], "ym string, route_no string, stop_id string, stop_name string, hr int, on_cnt long, off_cnt long")
     stations = spark.createDataFrame([("1", "A", "L", 37.5, 127.0)], STATION_MASTER)
     stops = spark.createDataFrame([("s", "S", "1", "bus", 127.0, 37.5)], STOP_MASTER)
-    found = places.pairs(Study(rail, bus, stations, stops), [500])
+    return Study(rail, bus, stations, stops)
+
+
+def test_pairs_of_a_study_meet_no_second_join_by_position(spark):
+    found = places.pairs(small_study(spark), [500])
     assert rows(found, "station", "stop_id") == [("A", "s")]
     assert not [x for x in plan_text(found).splitlines() if "Join" in x and "stop_lat" in x.split(", Inner")[0]]
+
+
+def test_sql_over_the_views_shuffles_no_pairs(spark):
+    threshold = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(threshold)
+    spark.conf.set(threshold, "-1")
+    try:
+        views.register_views(small_study(spark), [500])
+        found = spark.sql("SELECT p.stop_id, z.line_type FROM zone_typed_500 z JOIN pairs_500 p ON z.station = p.station AND z.line = p.line")
+        assert rows(found) == [("s", "기타")]
+        assert [x for x in plan_text(found).splitlines() if "BroadcastHashJoin [station" in x]
+        assert not [x for x in plan_text(found).splitlines() if "SortMergeJoin [station" in x]
+    finally:
+        spark.conf.set(threshold, before)
